@@ -19,68 +19,110 @@ def _strip(c) -> Column:
     return T.py_strip(text(c))
 
 
+def facts(s, screened=None) -> Column:
+    """Struct of everything the rules below ask about one text; each pattern runs once.
+
+    ``screened``: true where captions and metadata are known to have been taken out already.
+    """
+    unknown = F.lit(True) if screened is None else ~screened
+    words = F.regexp_extract_all(s, F.lit(T.PROSE_WORD), F.lit(0))
+    return F.struct(
+        s.alias("s"), F.size(words).alias("n"), T.starts_upper(s).alias("upper"),
+        T.starts_quote(s).alias("quote"), hits_cs(s, V.SENTENCE_END_CS).alias("ends"),
+        T.ends_cut(s).alias("cut"), in_list(F.lower(F.coalesce(
+            F.get(words, F.size(words) - 1), F.lit(""))), V.DANGLING_END).alias("dangling"),
+        hits_cs(s, V.COMPOUND_DANGLE_CS).alias("compound"),
+        hits_cs(s, V.ABBREVIATION_END_CS).alias("abbrev"),
+        hits(s, V.CONNECTIVE_OPEN).alias("connective"), T.is_roundup(s).alias("roundup"),
+        T.unbalanced(s).alias("unbalanced"), (unknown & T.is_caption(s)).alias("caption"),
+        (unknown & T.is_metadata(s)).alias("metadata"))
+
+
+def _summary_rules(f: Column):
+    full = f["s"] != ""
+    return (
+        (f["n"] < 12, "summary too short (<12 words)"),
+        (full & ~f["upper"], "summary begins mid-sentence (not capitalized)"),
+        (full & ~f["ends"], "summary is a headline fragment (no sentence-ending punctuation)"),
+        (f["cut"], "summary is cut off (ends in an ellipsis)"),
+        (f["dangling"], "summary ends mid-clause (cut off)"),
+        (f["compound"], "summary ends with a dangling phrase (e.g. 'between the U.S.')"),
+        (f["abbrev"], "summary ends at an abbreviation (split fragment)"),
+        (f["connective"], "summary starts with a context-free connective (e.g. 'And,')"),
+        (f["roundup"], "summary is a newsletter/roundup table-of-contents line"),
+        (f["unbalanced"].isNotNull(), F.concat(F.lit("summary has "), f["unbalanced"])),
+        (f["caption"], "summary is a photo caption / scene description"),
+        (f["metadata"], "summary is author bio / publication metadata / stitched-quote text"),
+    )
+
+
+def _why_rules(f: Column):
+    return (
+        (f["quote"], "whyItMatters is a quote, not an explanation"),
+        (f["n"] < 6, "whyItMatters too short (<6 words)"),
+        (~f["upper"], "whyItMatters begins mid-sentence"),
+        (~f["ends"], "whyItMatters is a fragment (no sentence end)"),
+        (f["cut"], "whyItMatters is cut off (ends in an ellipsis)"),
+        (f["dangling"], "whyItMatters ends mid-clause (cut off)"),
+        (f["compound"], "whyItMatters ends with a dangling phrase (e.g. 'between the U.S.')"),
+        (f["abbrev"], "whyItMatters ends at an abbreviation (split fragment)"),
+        (f["connective"], "whyItMatters starts with a context-free connective (e.g. 'And,')"),
+        (f["unbalanced"].isNotNull(), F.concat(F.lit("whyItMatters has "), f["unbalanced"])),
+        (f["caption"], "whyItMatters is a photo caption, not an explanation"),
+        (f["metadata"],
+         "whyItMatters is author bio / publication metadata, not an explanation"),
+    )
+
+
+def _any(rules) -> Column:
+    out = F.lit(False)
+    for cond, _ in rules:
+        out = out | cond
+    return out
+
+
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and use it in ``body``, also inside array lambdas."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def summary_issues(summary) -> Column:
     """Everything wrong with a summary; empty when it is fit to publish."""
-    s = _strip(summary)
-    full = s != ""
-    return _issues(
-        (T.prose_words(s) < 12, "summary too short (<12 words)"),
-        (full & ~T.starts_upper(s), "summary begins mid-sentence (not capitalized)"),
-        (full & ~hits_cs(s, V.SENTENCE_END_CS),
-         "summary is a headline fragment (no sentence-ending punctuation)"),
-        (T.ends_cut(s), "summary is cut off (ends in an ellipsis)"),
-        (in_list(T.last_word(s), V.DANGLING_END), "summary ends mid-clause (cut off)"),
-        (hits_cs(s, V.COMPOUND_DANGLE_CS),
-         "summary ends with a dangling phrase (e.g. 'between the U.S.')"),
-        (hits_cs(s, V.ABBREVIATION_END_CS), "summary ends at an abbreviation (split fragment)"),
-        (hits(s, V.CONNECTIVE_OPEN),
-         "summary starts with a context-free connective (e.g. 'And,')"),
-        (T.is_roundup(s), "summary is a newsletter/roundup table-of-contents line"),
-        (T.unbalanced(s).isNotNull(), F.concat(F.lit("summary has "), T.unbalanced(s))),
-        (T.is_caption(s), "summary is a photo caption / scene description"),
-        (T.is_metadata(s),
-         "summary is author bio / publication metadata / stitched-quote text"),
-    )
+    return let(facts(_strip(summary)), lambda f: _issues(*_summary_rules(f)))
+
+
+def bad_summary(f: Column) -> Column:
+    """The facts of a text rule it out as a summary."""
+    return _any(_summary_rules(f))
+
+
+def bad_why(f: Column) -> Column:
+    """The facts of a text rule it out as a why-it-matters line, whatever the story."""
+    return _any(_why_rules(f))
+
+
+def repeats_headline(keywords: Column, headline_keywords: Column) -> Column:
+    return ((F.size(keywords) > 0)
+            & (F.size(F.array_intersect(keywords, headline_keywords)) / F.size(keywords) >= 0.85))
 
 
 def why_issues(why, summary, headline) -> Column:
     """Everything wrong with a why-it-matters line."""
-    w = _strip(why)
     low_summary = F.lower(_strip(summary))
-    wt, ht = T.keywords(w), T.keywords(headline)
-    repeats = ((text(headline) != "") & (F.size(wt) > 0)
-               & (F.size(F.array_intersect(wt, ht)) / F.size(wt) >= 0.85))
-    return F.when(w == "", F.array(F.lit("whyItMatters empty"))).otherwise(_issues(
-        (T.starts_quote(w), "whyItMatters is a quote, not an explanation"),
-        (T.prose_words(w) < 6, "whyItMatters too short (<6 words)"),
-        (~T.starts_upper(w), "whyItMatters begins mid-sentence"),
-        (~hits_cs(w, V.SENTENCE_END_CS), "whyItMatters is a fragment (no sentence end)"),
-        (T.ends_cut(w), "whyItMatters is cut off (ends in an ellipsis)"),
-        (in_list(T.last_word(w), V.DANGLING_END), "whyItMatters ends mid-clause (cut off)"),
-        (hits_cs(w, V.COMPOUND_DANGLE_CS),
-         "whyItMatters ends with a dangling phrase (e.g. 'between the U.S.')"),
-        (hits_cs(w, V.ABBREVIATION_END_CS),
-         "whyItMatters ends at an abbreviation (split fragment)"),
-        (hits(w, V.CONNECTIVE_OPEN),
-         "whyItMatters starts with a context-free connective (e.g. 'And,')"),
-        (T.unbalanced(w).isNotNull(), F.concat(F.lit("whyItMatters has "), T.unbalanced(w))),
+    w = _strip(why)
+    repeats = (text(headline) != "") & repeats_headline(T.keywords(w), T.keywords(headline))
+    more = _issues(
         (F.contains(low_summary, F.lower(w)), "whyItMatters is copied verbatim from the summary"),
-        (T.is_caption(w), "whyItMatters is a photo caption, not an explanation"),
-        (T.is_metadata(w),
-         "whyItMatters is author bio / publication metadata, not an explanation"),
-        (repeats, "whyItMatters just repeats the headline"),
-    ))
+        (repeats, "whyItMatters just repeats the headline"))
+    return F.when(w == "", F.array(F.lit("whyItMatters empty"))).otherwise(
+        F.concat(let(facts(w), lambda f: _issues(*_why_rules(f))), more))
 
 
-def good_bullet(s) -> Column:
+def good_bullet(f: Column) -> Column:
     """One complete standalone sentence of 7 to 40 words."""
-    n = T.prose_words(s)
-    return ((n >= 7) & (n <= 40) & T.starts_upper(s) & ~T.starts_quote(s)
-            & hits_cs(s, V.SENTENCE_END_CS) & ~T.ends_cut(s)
-            & ~in_list(T.last_word(s), V.DANGLING_END)
-            & ~hits_cs(s, V.COMPOUND_DANGLE_CS) & ~hits_cs(s, V.ABBREVIATION_END_CS)
-            & ~hits(s, V.CONNECTIVE_OPEN) & ~T.is_roundup(s)
-            & ~T.is_caption(s) & ~T.is_metadata(s))
+    return ((f["n"] >= 7) & (f["n"] <= 40) & f["upper"] & ~f["quote"] & f["ends"] & ~f["cut"]
+            & ~f["dangling"] & ~f["compound"] & ~f["abbrev"] & ~f["connective"] & ~f["roundup"]
+            & ~f["caption"] & ~f["metadata"])
 
 
 def publish_issues(value) -> Column:

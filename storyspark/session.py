@@ -45,3 +45,12 @@ def written(df: DataFrame, label: str = "step") -> DataFrame:
     path = f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core for row-heavy work on a small input.
+
+    A large input has more splits than cores and is left alone; only one with fewer is dealt out.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
