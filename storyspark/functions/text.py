@@ -7,6 +7,7 @@ import html
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .. import vocab as V
 from .rules import contains_any, hits, hits_cs, str_array, text
@@ -15,7 +16,7 @@ WORD = r"[A-Za-z0-9'$%.\-]+"
 PROSE_WORD = r"[A-Za-z0-9']+"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def unescape(s: pd.Series) -> pd.Series:
     """Decode every HTML entity."""
     return s.map(lambda x: None if x is None else (html.unescape(x) if "&" in x else x))

@@ -18,6 +18,7 @@ from ..functions import classify as C, urls
 from ..functions.rules import in_list
 from ..session import written
 from . import history as H, scoring as S
+from .violations import rule, violations
 
 DATE = "edition_date"
 GATES = ["too-few-candidates", "too-few-urls", "too-few-complete", "too-few-after-repeats",
@@ -58,23 +59,25 @@ def pick_lead(pool: DataFrame) -> DataFrame:
                  F.col("seq").alias("s"))).alias("lead"))
 
 
-def _round(pool: DataFrame, state: DataFrame, size: int, discovery: bool) -> DataFrame:
-    """One greedy step for every date at once."""
+def _offers(size: int, discovery: bool) -> tuple[dict, dict, Column, Column]:
+    """Columns of one greedy step, in the order they are added, and the offer built from them."""
     chosen = F.col("chosen")
     n = F.size(F.filter(chosen, lambda s: s["category"] == F.col("_cat")))
-    retold = F.exists(chosen, _retells)
+    retold = F.filter(chosen, _retells)
     override = ((F.col("cluster_size") >= V.DOMINANT_CLUSTER_MIN) & (F.col("cluster_sources") >= 2)
-                & ~F.exists(chosen, lambda s: (s["category"] == "WORLD") & _retells(s)))
+                & ~F.exists("_retold", lambda s: s["category"] == "WORLD"))
     level = (F.when(F.col("_cat") == "WORLD",
-                    F.when((n < V.WORLD_CAP) | ((n == V.WORLD_CAP) & override), F.lit(0)))
-             .when(n < V.CATEGORY_CAP, F.lit(0)).when(n < V.CATEGORY_CAP + 1, F.lit(1))
-             .when(n < V.CATEGORY_CAP + 2, F.lit(2)))
+                    F.when((F.col("_n") < V.WORLD_CAP) | ((F.col("_n") == V.WORLD_CAP) & override),
+                           F.lit(0)))
+             .when(F.col("_n") < V.CATEGORY_CAP, F.lit(0))
+             .when(F.col("_n") < V.CATEGORY_CAP + 1, F.lit(1))
+             .when(F.col("_n") < V.CATEGORY_CAP + 2, F.lit(2)))
     open_slot = ((F.size(chosen) < size) & (F.col("seq") != F.col("lead_seq"))
                  & (F.col("id") != F.col("lead_id"))
                  & F.coalesce(F.col("cluster_id") != F.col("lead_cluster"), F.lit(False))
-                 & ~F.exists(chosen, lambda s: s["seq"] == F.col("seq")) & ~retold)
+                 & ~F.exists(chosen, lambda s: s["seq"] == F.col("seq"))
+                 & (F.size("_retold") == 0))
     delta, _ = S.mix_dynamic(chosen)
-    score = F.col("_static") + delta
     if discovery:
         fit = ((F.col("mm.consumer_launch") | F.col("mm.discovery_value"))
                & (F.col("base_score") >= V.DISCOVERY_MIN_BASE) & (F.col("_level") == 0))
@@ -87,12 +90,18 @@ def _round(pool: DataFrame, state: DataFrame, size: int, discovery: bool) -> Dat
         third = (F.col("_cat") == "WORLD") & (F.col("_n") == V.WORLD_CAP)
         tag = F.when(F.col("_level").isNull(), F.lit("emergency-fill")).when(
             third, F.lit("world-3rd-override")).otherwise(F.lit("rank"))
-    offers = (pool.join(state, DATE)
-              .withColumns({"_open": open_slot, "_n": n, "_level": level, "_score": score})
-              .withColumn("_step", step)
-              .withColumn("_offer", F.when(F.col("_open") & F.col("_step").isNotNull(), F.struct(
-                  F.col("_step").alias("step"), (-F.col("_score")).alias("k"), "id", "seq",
-                  _story(tag).alias("story")))))
+    offer = F.when(F.col("_open") & F.col("_step").isNotNull(), F.struct(
+        F.col("_step").alias("step"), (-F.col("_score")).alias("k"), "id", "seq",
+        _story(tag).alias("story")))
+    return ({"_n": n, "_retold": retold, "_score": F.col("_static") + delta},
+            {"_open": open_slot, "_level": level}, step, offer)
+
+
+def _round(pool: DataFrame, state: DataFrame, columns) -> DataFrame:
+    """One greedy step for every date at once."""
+    first, second, step, offer = columns
+    offers = (pool.join(state, DATE).withColumns(first).withColumns(second)
+              .withColumn("_step", step).withColumn("_offer", offer))
     best = offers.groupBy(DATE).agg(
         F.any_value("chosen").alias("chosen"), F.any_value("relax").alias("relax"),
         F.any_value("lead_seq").alias("lead_seq"), F.any_value("lead_id").alias("lead_id"),
@@ -121,16 +130,17 @@ def pick_supporting(pool: DataFrame, leads: DataFrame, need: int = 4) -> DataFra
                          F.col("lead.story.seq").alias("lead_seq"),
                          F.col("lead.story.id").alias("lead_id"),
                          F.col("lead.cluster_id").alias("lead_cluster"))
+    discovery, fill = _offers(need + 1, True), _offers(need + 1, False)
     for step in range(need + 1):
         # One small row per date; written, so that the plan stays flat and its size is known.
-        state = written(_round(ready, state, need + 1, discovery=step == 0), "state")
+        state = written(_round(ready, state, fill if step else discovery), "state")
     return state
 
 
 def select_edition(cands: DataFrame, editions: DataFrame, min_candidates: int = 20,
                    stale_hours: float = 48, fresh_hours: float = 36) -> Edition:
     """Run gates, repeat guard, lead and supporting picks for every date (fails closed per date)."""
-    scored = S.with_eligibility(S.score_candidates(cands, fresh_hours), stale_hours)
+    scored = written(S.with_eligibility(S.score_candidates(cands, fresh_hours), stale_hours), "scored")
     counts = scored.groupBy(DATE).agg(
         F.count("*").alias("total"), F.count_if("real_url").alias("urls"),
         F.count_if("eligible").alias("complete"),
@@ -275,30 +285,21 @@ def resolve_selection(selection: DataFrame, cands: DataFrame) -> DataFrame:
 def check_selection(selection: DataFrame, cands: DataFrame) -> DataFrame:
     """Errors and warnings of a manual selection (V18): (key, rule, field, message)."""
     rows = resolve_selection(selection, cands)
-    key = F.col(DATE).cast("string").alias("key")
-    per_row = rows.select(key, F.explode(F.array_compact(F.array(
-        F.when(~F.col("known"), F.struct(F.lit("unknown-id").alias("rule"), F.col("id").alias("field"),
-                                         F.lit("is not among the candidates").alias("message"))),
-        F.when(F.col("known") & ~urls.is_https_article("url"), F.struct(
-            F.lit("no-article-url"), F.col("id"), F.lit("has no real https article URL"))),
-        F.when(F.col("paywalled"), F.struct(F.lit("warn-paywalled"), F.col("id"),
-                                            F.lit("paywalled pick")))))).alias("v")).select(
-        "key", "v.*")
+    per_row = violations(rows, F.col(DATE), [
+        rule(~F.col("known"), "unknown-id", F.col("id"), "is not among the candidates"),
+        rule(F.col("known") & ~urls.is_https_article("url"), "no-article-url", F.col("id"),
+             "has no real https article URL"),
+        rule(F.col("paywalled"), "warn-paywalled", F.col("id"), "paywalled pick")])
     facts = rows.groupBy(DATE).agg(
         F.count_if("lead").alias("leads"), F.count_if(~F.col("lead")).alias("others"),
         F.countDistinct("id").alias("ids"), F.countDistinct("category").alias("cats"))
-    per_group = facts.select(key, F.explode(F.array_compact(F.array(
-        F.when(F.col("leads") == 0, F.struct(F.lit("no-lead").alias("rule"), F.lit("lead").alias("field"),
-                                             F.lit("no lead id set").alias("message"))),
-        F.when(F.col("others") != 4, F.struct(
-            F.lit("supporting-count"), F.lit("supporting"), F.concat(
-                F.lit("must list exactly 4 ids (found "), F.col("others").cast("string"), F.lit(")")))),
-        F.when(F.col("ids") != 5, F.struct(
-            F.lit("distinct-ids"), F.lit("ids"), F.concat(
-                F.lit("need exactly 5 distinct ids; got "), F.col("ids").cast("string")))),
-        F.when(F.col("cats") <= 2, F.struct(F.lit("warn-coverage"), F.lit("category"),
-                                            F.lit("thin category coverage")))))).alias("v")).select(
-        "key", "v.*")
+    per_group = violations(facts, F.col(DATE), [
+        rule(F.col("leads") == 0, "no-lead", "lead", "no lead id set"),
+        rule(F.col("others") != 4, "supporting-count", "supporting", F.concat(
+            F.lit("must list exactly 4 ids (found "), F.col("others").cast("string"), F.lit(")"))),
+        rule(F.col("ids") != 5, "distinct-ids", "ids", F.concat(
+            F.lit("need exactly 5 distinct ids; got "), F.col("ids").cast("string"))),
+        rule(F.col("cats") <= 2, "warn-coverage", "category", "thin category coverage")])
     return per_row.unionByName(per_group)
 
 

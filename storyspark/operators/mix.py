@@ -108,10 +108,9 @@ def _usable() -> Column:
             & M.topic_allowed("category", "topics") & (F.size("pos") > 0))
 
 
-def _round(pool: DataFrame, state: DataFrame, size: int) -> DataFrame:
+def _columns(size: int) -> tuple[Column, Column, Column, Column]:
+    """Columns of one greedy step: positions, phase, sort key and offer."""
     chosen = F.col("chosen")
-    rows = state.join(pool.withColumnRenamed("topics", "topics_c"), DATE, "left").withColumn(
-        "pos", _positions())
     free = (_usable() & (F.size(chosen) < size)
             & ~F.exists(chosen, lambda s: s["id"] == F.col("id"))
             & ~F.exists(chosen, _is_duplicate) & ~_uk_violation(chosen))
@@ -119,10 +118,16 @@ def _round(pool: DataFrame, state: DataFrame, size: int) -> DataFrame:
     phase = F.when(_family_violation(chosen), F.lit(RELAXED)).otherwise(
         F.coalesce(F.array_min(quota_left), F.lit(3) + F.array_min("pos")))
     final = _final(chosen, F.when(F.col("_p") == RELAXED, F.lit(0.0)).otherwise(_bonus()))
-    offers = rows.withColumn("_p", F.when(free, phase).cast("int")).withColumn("_k", -final)
     offer = F.when(F.col("_p").isNotNull(), F.struct(
         F.col("_p").alias("p"), F.col("_k").alias("k"), F.col("id").alias("i"),
         _member(F.col("_p"), F.col("_k")).alias("story")))
+    return _positions(), F.when(free, phase).cast("int"), -final, offer
+
+
+def _round(pool: DataFrame, state: DataFrame, columns) -> DataFrame:
+    positions, phase, key, offer = columns
+    offers = (state.join(pool.withColumnRenamed("topics", "topics_c"), DATE, "left")
+              .withColumn("pos", positions).withColumn("_p", phase).withColumn("_k", key))
     best = offers.groupBy(DATE, "mix_id").agg(
         *[F.any_value(c).alias(c) for c in ("regions", "topics", "order", "quota", "chosen")],
         F.min(offer).alias("won"))
@@ -153,8 +158,9 @@ def select_mix(pool: DataFrame, mixes: DataFrame, size: int = V.STORY_COUNT) ->
                          M.priority_regions("regions").alias("order"),
                          M.quotas("regions", size).alias("quota"),
                          F.array().cast(f"array<{_MEMBER}>").alias("chosen"))
+    columns = _columns(size)
     for _ in range(size):
-        state = written(_round(pool, state, size), "mix")
+        state = written(_round(pool, state, columns), "mix")
     return state
 
 

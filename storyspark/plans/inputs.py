@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import vocab as V
+from ..session import spread, written
 
 DATES = 10
 HEADLINES = [
@@ -55,8 +56,22 @@ HEADLINES = [
 _SRC = [s[0] for s in V.SOURCES]
 
 
+_TABLES: dict = {}
+
+
 def read(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    df = spark.read.parquet(f"{sf}/{name}.parquet")
+    return df.withColumn("ts", F.col("ts").cast("timestamp")) if name == "events" else df
+
+
+def derived(fn):
+    """Write a derived table once per session and folder, like any table of a pipeline."""
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, sf, fn.__name__)
+        if key not in _TABLES:
+            _TABLES[key] = written(fn(spark, sf), fn.__name__)
+        return _TABLES[key]
+    return run
 
 
 def _pick(values, index: Column) -> Column:
@@ -104,12 +119,13 @@ def sources(spark: SparkSession) -> DataFrame:
                    "region string, feed_id string")
 
 
+@derived
 def candidates(spark: SparkSession, sf: str) -> DataFrame:
     """Ingested candidates; the cluster is the shared headline (own cluster otherwise)."""
     from ..functions import names, urls
     from ..operators.ingest import cluster_stats
 
-    r = raw_items(spark, sf).filter(F.col("link") != "")
+    r = spread(raw_items(spark, sf).filter(F.col("link") != ""))
     i = F.col("seq")
     turn = F.floor(i / 10)
     n = len(V.SOURCES)
@@ -129,10 +145,6 @@ def candidates(spark: SparkSession, sf: str) -> DataFrame:
     return cluster_stats(base)
 
 
-def dated(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return read(spark, sf, name)
-
-
 # --- the same derivation for the SQL side ---------------------------------------------------
 
 def _q(s) -> str:

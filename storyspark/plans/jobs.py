@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import vocab as V
+from ..functions import mixes as M
 from ..operators import (dialogue, draft as D, edition as E, history as H, images as I, ingest as G,
                          lookup as L, mix as X, pool as P, quality as Q, scoring as S, similarity)
 from ..operators.violations import union
@@ -134,26 +135,35 @@ def enrichment_job(pool: DataFrame, articles: DataFrame, images: I.ImagePools,
 
 @dataclass
 class Mixes:
+    """Result of a mix run; summaries and logs are worked out when asked for."""
+    pool: DataFrame          # selector columns of the pools
+    mixes: DataFrame         # distinct valid mixes
     state: DataFrame
-    picks: DataFrame
-    summary: DataFrame
-    audit: DataFrame
-    requests: DataFrame
+    requests: DataFrame      # the requests with their mix_id
+
+    @property
+    def picks(self) -> DataFrame:
+        return X.picks(self.state)
+
+    @property
+    def summary(self) -> DataFrame:
+        return X.mix_summary(self.state, self.pool, self.mixes)
+
+    @property
+    def audit(self) -> DataFrame:
+        return X.mix_audit(self.state, self.pool)
 
 
 def mix_job(pool: DataFrame, requests: DataFrame) -> Mixes:
     """Every requested mix of every date: fives, summaries and logs (Q6).
 
-    Equal requests are computed once; ``requests`` comes back with its mix id.
+    Equal requests are computed once; the requests come back with their mix id.
     """
     mixes = written(X.normalize_requests(requests), "mixes")
     ready = written(X.prepare(pool), "selector")
-    state = X.select_mix(ready, mixes)
-    from ..functions import mixes as M
     tagged = requests.withColumn("mix_id", M.mix_identity(
         DATE, M.normalize_regions("regions"), M.normalize_topics("topics")))
-    return Mixes(state, X.picks(state), X.mix_summary(state, ready, mixes), X.mix_audit(state, ready),
-                 tagged)
+    return Mixes(ready, mixes, X.select_mix(ready, mixes), tagged)
 
 
 @dataclass

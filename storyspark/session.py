@@ -15,6 +15,11 @@ DEFAULTS = {
 }
 
 
+# Set these when the session is built: call sites in error texts cost several driver round trips
+# per Column operation, and this library's rule tables are many Column operations.
+STATIC = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the settings results depend on (UTC) and the adaptive ones plans rely on."""
     for key, value in DEFAULTS.items():
