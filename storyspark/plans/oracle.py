@@ -1,6 +1,6 @@
 """DuckDB SQL with the meaning of the registered queries, written from the same rule tables.
 
-Patterns are matched against text whose accented letters are replaced by an 'x', because the
+Patterns are matched against text whose accented letters are replaced by a 'q', because the
 regex engine's word boundaries are ASCII there and Unicode here.
 """
 
@@ -24,7 +24,7 @@ def lst(values) -> str:
 
 
 def fold(e) -> str:
-    return f"regexp_replace({e}, '[À-ÖØ-öø-ÿ]', 'x', 'g')"
+    return f"regexp_replace({e}, '[À-ÖØ-öø-ÿ]', 'q', 'g')"
 
 
 def rx(e, pattern) -> str:
@@ -41,7 +41,7 @@ def first(e, rules, default="NULL") -> str:
 
 def labels(e, rules) -> str:
     return ("list_sort(list_distinct(list_filter([" + ", ".join(
-        f"CASE WHEN {rx(e, p)} THEN {q(x)} END" for p, x in rules) + "], x -> x IS NOT NULL)))")
+        f"CASE WHEN {rx(e, p)} THEN {q(x)} END" for p, x in rules) + "], lambda x: x IS NOT NULL)))")
 
 
 def bar(e, sep="|") -> str:
@@ -116,24 +116,24 @@ _PUB = "trim(regexp_replace(source, '\\s*\\(.*?\\)\\s*$', ''))"
 _FAM = "CASE lower(publisher) " + " ".join(
     f"WHEN {q(k)} THEN {q(v)}" for k, v in V.PUBLISHER_FAMILIES.items()) + " ELSE lower(publisher) END"
 _RELIABLE = "(" + " OR ".join(f"contains(lower(source), {q(n)})" for n in V.RELIABLE_OUTLETS) + ")"
-_BRAND = (f"list_filter(regexp_extract_all(lower(source), '[a-z]{{3,}}'), w -> NOT list_contains("
+_BRAND = (f"list_filter(regexp_extract_all(lower(source), '[a-z]{{3,}}'), lambda w: NOT list_contains("
           f"{lst(V.KEYWORD_STOPWORDS)}, w))")
 ORACLE["source_names"] = f"""WITH {ITEMS_SQL}, s AS (SELECT source, count(*) AS items, {_PUB} AS publisher
   FROM items GROUP BY source) SELECT source, items, publisher, {_FAM} AS family,
   trim(regexp_replace(lower(source), '[^a-z0-9]+', '-', 'g'), '-') AS slug,
-  coalesce(list_filter({_BRAND}, w -> length(w) = list_max(list_transform({_BRAND}, x -> length(x))))[1], '') AS brand,
+  coalesce(list_filter({_BRAND}, lambda w: length(w) = list_max(list_transform({_BRAND}, lambda x: length(x))))[1], '') AS brand,
   {i(_RELIABLE)} AS reliable FROM s"""
 
 
 def tokens(e):
     return (f"list_sort(list_distinct(list_transform(list_filter(regexp_extract_all(lower({e}), '[a-z0-9]+'), "
-            f"w -> length(w) > 2 AND NOT list_contains({lst(V.TITLE_STOPWORDS)}, w)), "
-            f"w -> CASE WHEN w LIKE '%s' AND length(w) > 4 THEN left(w, length(w) - 1) ELSE w END)))")
+            f"lambda w: length(w) > 2 AND NOT list_contains({lst(V.TITLE_STOPWORDS)}, w)), "
+            f"lambda w: CASE WHEN w LIKE '%s' AND length(w) > 4 THEN left(w, length(w) - 1) ELSE w END)))")
 
 
 def keywords(e):
     return (f"list_distinct(list_filter(regexp_extract_all(lower({e}), '[a-z0-9]{{4,}}'), "
-            f"w -> NOT list_contains({lst(V.KEYWORD_STOPWORDS)}, w)))")
+            f"lambda w: NOT list_contains({lst(V.KEYWORD_STOPWORDS)}, w)))")
 
 
 def headline_key(e):
@@ -189,13 +189,13 @@ ORACLE["clean_sentence_sets"] = f"""WITH {_SENTENCES} SELECT d.doc_id, count(k.s
   md5(coalesce(string_agg(k.s, chr(10) ORDER BY k.pos), '')) AS digest
   FROM documents d LEFT JOIN kept k USING (doc_id) GROUP BY d.doc_id"""
 ORACLE["ungrounded_titles"] = f"""WITH {ITEMS_SQL} SELECT seq, {bar(
-    f"list_sort(list_filter(list_distinct(regexp_extract_all(title, {q(WORD)})), t -> (regexp_matches(t, '[0-9]') OR "
+    f"list_sort(list_filter(list_distinct(regexp_extract_all(title, {q(WORD)})), lambda t: (regexp_matches(t, '[0-9]') OR "
     f"regexp_matches(t, '^[A-Z][a-zA-Z]{{2,}}$')) AND NOT list_contains(list_transform(regexp_extract_all(body, {q(WORD)}), "
-    f"x -> lower(x)), lower(t))))")} AS tokens FROM items"""
+    f"lambda x: lower(x)), lower(t))))")} AS tokens FROM items"""
 _WORDNUM = ", ".join(f"CASE WHEN {rx('f', chr(92) + 'b' + w + chr(92) + 'b')} THEN {q(n)} END"
                      for w, n in V.ENGLISH_NUMBERS.items())
 ORACLE["stated_numbers"] = f"""WITH t AS (SELECT doc_id, text, lower({fold('text')}) AS f FROM documents)
-  SELECT doc_id, {bar(f"list_sort(list_distinct(list_concat(regexp_extract_all(text, '[0-9]+'), list_filter([{_WORDNUM}], x -> x IS NOT NULL))))")}
+  SELECT doc_id, {bar(f"list_sort(list_distinct(list_concat(regexp_extract_all(text, '[0-9]+'), list_filter([{_WORDNUM}], lambda x: x IS NOT NULL))))")}
   AS numbers FROM t"""
 ORACLE["score_contract"] = """WITH t AS (SELECT event_id, round(value * CASE WHEN event_id % 5 = 0 THEN 100.0 ELSE 1.0 END
     - 20.0, 2) AS v FROM events)
@@ -210,9 +210,9 @@ _REQ = f"""req AS (SELECT event_id, user_id, ts,
     CAST(DATE '2026-07-20' + CAST(user_id % {DATES} AS INTEGER) AS DATE) AS edition_date,
     list_sort(list_filter([CASE WHEN user_id % 7 <> 1 THEN 'united_states' END,
       CASE WHEN user_id % 2 = 1 THEN 'japan' END, CASE WHEN user_id % 7 = 1 OR user_id % 3 = 0 THEN 'world' END],
-      x -> x IS NOT NULL)) AS regions,
+      lambda x: x IS NOT NULL)) AS regions,
     list_sort(list_filter([{', '.join(f"CASE WHEN CAST(floor(user_id / {k + 2}) AS INTEGER) % 3 = 0 THEN {q(t)} END" for k, t in enumerate(V.SUPPORTED_TOPICS))}],
-      x -> x IS NOT NULL)) AS topics FROM events)"""
+      lambda x: x IS NOT NULL)) AS topics FROM events)"""
 ORACLE["mix_identities"] = f"""WITH {_REQ} SELECT event_id, {bar('regions', ',')} AS regions, {bar('topics', ',')} AS topics,
   'date=' || CAST(edition_date AS VARCHAR) || '|regions=' || {bar('regions', ',')} || '|topics=' || {bar('topics', ',')}
   || '|selector=3|size=5' AS mix_id, 0 AS unsupported FROM req"""
@@ -260,7 +260,7 @@ def _greedy(source: str) -> str:
   SELECT edition_date, rn, seq, coalesce(m.s, seq), coalesce(len(list_intersect(m.t, tokens)), 0),
     coalesce(len(list_distinct(list_concat(m.t, tokens))), 0),
     CASE WHEN m IS NULL THEN list_append(leaders, {{'s': seq, 't': tokens}}) ELSE leaders END
-  FROM (SELECT t.edition_date, t.rn, t.seq, t.tokens, g.leaders, list_filter(g.leaders, x -> len(x.t) + len(t.tokens) > 0 AND
+  FROM (SELECT t.edition_date, t.rn, t.seq, t.tokens, g.leaders, list_filter(g.leaders, lambda x: len(x.t) + len(t.tokens) > 0 AND
       10 * len(list_intersect(x.t, t.tokens)) >= 3 * len(list_distinct(list_concat(x.t, t.tokens))))[1] AS m
     FROM g JOIN tk t ON t.edition_date = g.edition_date AND t.rn = g.rn + 1)),
  cl AS (SELECT edition_date, seq, leader, shared, total FROM g)"""
@@ -341,7 +341,7 @@ ORACLE["story_metadata"] = f"""WITH {_SCORE}{_META} SELECT seq, country, region,
   {i(_DISC)} AS discovery FROM meta"""
 _SID = f""", i1 AS (SELECT *, {first('bf', V.BRANDS)} AS brand, {first('bf', V.PRODUCT_FAMILIES)} AS family,
    {labels('bf', V.PRODUCT_FAMILIES)} AS fams, {first('bf', V.LAUNCH_EVENTS)} AS event FROM meta),
- sid AS (SELECT *, list_filter(fams, f -> len(list_filter(fams, g -> g <> f AND starts_with(g, f || ' '))) = 0) AS covers,
+ sid AS (SELECT *, list_filter(fams, lambda f: len(list_filter(fams, lambda g: g <> f AND starts_with(g, f || ' '))) = 0) AS covers,
    {rx('tf', V.ROUNDUP_TITLE)} AS roundup, ((launch OR family IS NOT NULL OR event IS NOT NULL)
    AND event_family IN ('consumer_launch', 'other')) AS product FROM i1)"""
 _HAS = "brand IS NOT NULL AND "
@@ -352,7 +352,7 @@ ORACLE["story_identities"] = f"""WITH {_SCORE}{_META}{_SID} SELECT seq, brand, C
 
 def _evidence(region, e, field):
     return "list_filter([" + ", ".join(f"CASE WHEN {rx(e, p)} THEN {q(n + ':' + field)} END"
-                                       for n, p in V.REGION_RULES[region]) + "], x -> x IS NOT NULL)"
+                                       for n, p in V.REGION_RULES[region]) + "], lambda x: x IS NOT NULL)"
 
 
 def _member(region):
@@ -368,7 +368,7 @@ ORACLE["region_memberships"] = f"WITH {_SCORE} " + " UNION ALL ".join(_member(r)
 _TS = "[" + ", ".join("{'k': " + " + ".join(
     f"CASE WHEN {rxc('lower(tf)', chr(92) + 'b' + w + chr(92) + 'b')} THEN -2 ELSE 0 END + CASE WHEN {rxc('lower(sf)', chr(92) + 'b' + w + chr(92) + 'b')} THEN -1 ELSE 0 END"
     for w in ws) + f", 't': {q(t)}}}" for t, ws in TOPIC_KEYWORDS.items()) + "]"
-ORACLE["image_topics"] = f"""WITH {_SCORE}, t AS (SELECT seq, list_sort(list_filter({_TS}, x -> x.k < 0))[1] AS b FROM sc)
+ORACLE["image_topics"] = f"""WITH {_SCORE}, t AS (SELECT seq, list_sort(list_filter({_TS}, lambda x: x.k < 0))[1] AS b FROM sc)
   SELECT seq, b.t AS topic, coalesce(-b.k, 0) AS topic_score FROM t"""
 
 # --- duplicates --------------------------------------------------------------------------------
@@ -387,7 +387,7 @@ def _rel(a, b):
 
 def same_rule(a, b):
     def covers(x, o):
-        return (f"({x}.roundup AND {o}.family IS NOT NULL AND len(list_filter({x}.covers, f -> {_rel(o + '.family', 'f')})) > 0)")
+        return (f"({x}.roundup AND {o}.family IS NOT NULL AND len(list_filter({x}.covers, lambda f: {_rel(o + '.family', 'f')})) > 0)")
     return f"""CASE WHEN {a}.brand IS NULL OR {b}.brand IS NULL OR {a}.brand <> {b}.brand OR NOT ({a}.product AND {b}.product) THEN NULL
    WHEN coalesce({a}.event = {b}.event, false) THEN 'same-launch-event' WHEN {_rel(a + '.family', b + '.family')} THEN 'same-product-family'
    WHEN {covers(a, b)} OR {covers(b, a)} THEN 'roundup-covers-family' WHEN {a}.family IS NOT NULL AND {b}.family IS NOT NULL THEN NULL
@@ -494,7 +494,7 @@ ORACLE["mix_eligibility"] = f"""WITH {_POOLED}, mem AS ({" UNION ALL ".join(_mem
    (epoch_us(CAST(edition_date AS TIMESTAMP) + INTERVAL 86399 SECOND) - epoch_us(published_at)) / 3600000000.0 AS age FROM pool)
  SELECT a.seq, CASE WHEN source_reliability = 'low' THEN 'low source reliability' WHEN id = '' OR title = '' OR src = '' THEN 'missing required field'
    WHEN age > 72 OR age < -24 THEN 'outside 72-hour freshness window' ELSE 'eligible' END AS reason,
-   {i("len(list_filter(" + _CTOP + ", x -> x NOT IN ('tech', 'business'))) = 0")} AS tech_business, jw.p AS japan_world FROM a JOIN jw USING (seq)"""
+   {i("len(list_filter(" + _CTOP + ", lambda x: x NOT IN ('tech', 'business'))) = 0")} AS tech_business, jw.p AS japan_world FROM a JOIN jw USING (seq)"""
 ORACLE["pool_admission"] = """WITH e AS (SELECT event_id, user_id AS u, (epoch_us(TIMESTAMP '2024-01-20 00:00:00') - epoch_us(ts)) / 60000000.0 AS age FROM events)
  SELECT event_id, CASE WHEN u % 13 = 0 THEN 'candidate_pool_version_incompatible' WHEN u % 11 = 0 THEN 'candidate_pool_schema_invalid'
    WHEN u % 17 = 0 THEN 'candidate_pool_identity_mismatch' WHEN u % 10 = 0 THEN 'candidate_pool_date_mismatch' WHEN u % 25 < 15 THEN 'candidate_pool_empty'
@@ -547,7 +547,7 @@ ORACLE["served_edition"] = f"""WITH {CANDIDATES_SQL}{_ED}, ok AS (SELECT edition
    count(*) FILTER ({_BADF}) = 0) SELECT {D}, number FROM ed WHERE edition_date = (SELECT max(edition_date) FROM ok)"""
 ORACLE["request_codes"] = """SELECT event_id, CASE WHEN user_id % 13 = 0 THEN 'unsupported_selector_version' WHEN user_id % 40 = 0 OR user_id % 40 > 31
    THEN 'invalid_request' WHEN user_id % 7 IN (0, 1) THEN 'invalid_region' WHEN user_id % 11 = 0 THEN 'invalid_topic' ELSE 'ok' END AS code FROM events"""
-_KT = "list_slice(list_filter(list_transform(string_split(text, chr(10)), x -> trim(x, e' \\n\\t\\r')), x -> x <> ''), 1, 3)"
+_KT = "list_slice(list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x, e' \\n\\t\\r')), lambda x: x <> ''), 1, 3)"
 ORACLE["translation_checks"] = f"""WITH t AS (SELECT CAST(doc_id AS VARCHAR) AS key, doc_id, trim(string_split(text, chr(10))[1]) AS h, trim(text, e' \\n\\t\\r') AS s,
    CASE WHEN doc_id % 6 = 0 THEN '' ELSE lang END AS w, CASE WHEN doc_id % 10 <> 0 THEN {_KT} END AS k FROM documents)
  SELECT key, 'missing' AS rule, 'headline' AS field FROM t WHERE h = '' UNION ALL SELECT key, 'missing', 'summary' FROM t WHERE s = ''
