@@ -16,10 +16,14 @@ from ..streaming import keyed as K
 from . import inputs as I, jobs as J
 
 DATE = "edition_date"
-day = F.col(DATE).cast("string").alias(DATE)
 QUERIES: dict = {}
 
 
+def day():
+    """The edition date as text."""
+    return F.col(DATE).cast("string").alias(DATE)
+
+
 def register(fn):
     def run(spark: SparkSession, sf: str) -> DataFrame:
         return fn(prepare(spark), sf)
@@ -236,18 +240,18 @@ def ingest_reasons(spark, sf):
 @register
 def ingest_counts(spark, sf):
     f = G.ingest_filter(I.raw_items(spark, sf))
-    return G.reason_counts(f, "skip_reason").select(day, "reason", "n")
+    return G.reason_counts(f, "skip_reason").select(day(), "reason", "n")
 
 
 @register
 def ingest_sources(spark, sf):
-    return G.ingest_report(I.candidates(spark, sf)).select(day, "source", "candidates")
+    return G.ingest_report(I.candidates(spark, sf)).select(day(), "source", "candidates")
 
 
 @register
 def cluster_outlets(spark, sf):
     return G.cluster_report(I.candidates(spark, sf)).select(
-        day, "cluster_id", "cluster_size", "title", "outlets")
+        day(), "cluster_id", "cluster_size", "title", "outlets")
 
 
 @register
@@ -270,18 +274,18 @@ def pool_source_drops(spark, sf):
 @register
 def similar_titles(spark, sf):
     return SI.similar_titles(I.raw_items(spark, sf)).select(
-        day, "seed", "member", F.col("shared").cast("long"), F.col("total").cast("long"))
+        day(), "seed", "member", F.col("shared").cast("long"), F.col("total").cast("long"))
 
 
 @register
 def title_clusters(spark, sf):
-    return SI.cluster_titles(I.raw_items(spark, sf)).select(day, "seq", "cluster_id")
+    return SI.cluster_titles(I.raw_items(spark, sf)).select(day(), "seq", "cluster_id")
 
 
 @register
 def ingest_job(spark, sf):
     return J.ingest_job(I.raw_items(spark, sf), I.sources(spark)).candidates.select(
-        day, "seq", "id", "publisher", "category", "source_reliability", "cluster_id", "cluster_size",
+        day(), "seq", "id", "publisher", "category", "source_reliability", "cluster_id", "cluster_size",
         "cluster_sources")
 
 
@@ -297,7 +301,7 @@ def base_scores(spark, sf):
 
 @register
 def best_of_clusters(spark, sf):
-    return S.dedup_by_cluster(scored(spark, sf)).select(day, "cluster_id", "seq")
+    return S.dedup_by_cluster(scored(spark, sf)).select(day(), "cluster_id", "seq")
 
 
 @register
@@ -306,7 +310,7 @@ def lead_picks(spark, sf):
         "fp": F.array().cast("array<string>"),
         "mm": F.struct(F.lit("").alias("country"), F.lit("").alias("event_family"), F.lit("").alias("tone")),
         "sid": F.lit(0)})
-    return E.pick_lead(s).select(day, F.col("lead.story.id").alias("id"), F.col("lead.story.seq").alias("seq"))
+    return E.pick_lead(s).select(day(), F.col("lead.story.id").alias("id"), F.col("lead.story.seq").alias("seq"))
 
 
 @register
@@ -360,13 +364,13 @@ def image_topics(spark, sf):
 @register
 def duplicate_signatures(spark, sf):
     s = DU.signatures(classed(spark, sf))
-    return DU.duplicate_pairs(s).select(day, "src", "dst", "rule")
+    return DU.duplicate_pairs(s).select(day(), "src", "dst", "rule")
 
 
 @register
 def first_duplicates(spark, sf):
     s = DU.signatures(classed(spark, sf))
-    return DU.first_duplicate_pair(s).select(day, "src", "dst")
+    return DU.first_duplicate_pair(s).select(day(), "src", "dst")
 
 
 # --- history (W2, W3, J5, J6, J11, V6) ---------------------------------------------------------
@@ -374,13 +378,13 @@ def first_duplicates(spark, sf):
 @register
 def recent_edition_dates(spark, sf):
     return H.recent_editions(I.candidates(spark, sf), editions(spark, sf), 7).select(
-        day, F.col("prior_date").cast("string").alias("prior_date"), "edition_rank")
+        day(), F.col("prior_date").cast("string").alias("prior_date"), "edition_rank")
 
 
 @register
 def history_runs(spark, sf):
     return H.history_pairs(I.candidates(spark, sf), editions(spark, sf)).select(
-        day, "country", "event_family", F.col("run").cast("long"), joined("run_dates").alias("dates"))
+        day(), "country", "event_family", F.col("run").cast("long"), joined("run_dates").alias("dates"))
 
 
 @register
@@ -392,7 +396,7 @@ def recent_repeats(spark, sf):
 
 @register
 def image_cooldowns(spark, sf):
-    return H.image_cooldown(I.candidates(spark, sf), editions(spark, sf), 4).select(day, "imageURL")
+    return H.image_cooldown(I.candidates(spark, sf), editions(spark, sf), 4).select(day(), "imageURL")
 
 
 @register
@@ -405,27 +409,27 @@ def image_reuse(spark, sf):
 @register
 def edition_picks(spark, sf):
     e = J.edition_job(I.candidates(spark, sf), editions(spark, sf))
-    return e.picks.select(day, "rank", "tag", "id", "seq", "category", F.round("base_score", 6).alias("base"),
+    return e.picks.select(day(), "rank", "tag", "id", "seq", "category", F.round("base_score", 6).alias("base"),
                           F.round("static_delta", 6).alias("delta"))
 
 
 @register
 def edition_gates(spark, sf):
     e = J.edition_job(I.candidates(spark, sf), editions(spark, sf))
-    return E.gate_reasons(e.gates).select(day, "total", "urls", "complete", "distinct_stories", "gate", "reason")
+    return E.gate_reasons(e.gates).select(day(), "total", "urls", "complete", "distinct_stories", "gate", "reason")
 
 
 @register
 def edition_audit(spark, sf):
     e = J.edition_job(I.candidates(spark, sf), editions(spark, sf))
-    return E.audit(e).select(day, "seq", "id", F.round("adjusted", 6).alias("adjusted"),
+    return E.audit(e).select(day(), "seq", "id", F.round("adjusted", 6).alias("adjusted"),
                              joined("notes", "; ").alias("notes"), "verdict")
 
 
 @register
 def diversity_report(spark, sf):
     told = C.with_story_metadata(editions(spark, sf), "headline", "summary")
-    return E.mix_report(told).select(day, "categories", "regions", "per_country", "conflict", "forward",
+    return E.mix_report(told).select(day(), "categories", "regions", "per_country", "conflict", "forward",
                                      *[flag(F.col(c)).alias(c) for c in (
                                          "met_categories", "met_regions", "met_countries", "met_conflict",
                                          "met_forward")])
@@ -438,13 +442,13 @@ def _exclusions(spark, sf):
 
 @register
 def excluded_candidates(spark, sf):
-    return S.excluded_rows(I.candidates(spark, sf), _exclusions(spark, sf)).select(day, "seq", "id")
+    return S.excluded_rows(I.candidates(spark, sf), _exclusions(spark, sf)).select(day(), "seq", "id")
 
 
 @register
 def kept_candidates(spark, sf):
     return S.exclude_ids(I.candidates(spark, sf), _exclusions(spark, sf)).groupBy(DATE).agg(
-        F.count("*").alias("kept")).select(day, "kept")
+        F.count("*").alias("kept")).select(day(), "kept")
 
 
 @register
@@ -458,20 +462,20 @@ def manual_selection(spark, sf):
 
 @register
 def review_board(spark, sf):
-    return E.review_board(I.candidates(spark, sf)).select(day, "section", "k2", "k3", "seq", "cluster_size")
+    return E.review_board(I.candidates(spark, sf)).select(day(), "section", "k2", "k3", "seq", "cluster_size")
 
 
 # --- pools and mixes (P13, A9, K10, V10, V16, A10, Q4, Q6, K6-K9, A7, A8, A14) -----------------
 
 @register
 def frozen_pool(spark, sf):
-    return PO.freeze_pool(pool(spark, sf)).select(day, "id", F.md5(PO.pool_json()).alias("digest"), "url",
+    return PO.freeze_pool(pool(spark, sf)).select(day(), "id", F.md5(PO.pool_json()).alias("digest"), "url",
                                                   "identity", F.round("base_score", 6).alias("score"))
 
 
 @register
 def pool_identities(spark, sf):
-    return PO.pool_identity(PO.freeze_pool(pool(spark, sf))).select(day, "rows", "bytes", "pool_identity")
+    return PO.pool_identity(PO.freeze_pool(pool(spark, sf))).select(day(), "rows", "bytes", "pool_identity")
 
 
 @register
@@ -489,7 +493,7 @@ def pool_error_categories(spark, sf):
 
 @register
 def enrichment_choice(spark, sf):
-    return PO.select_for_enrichment(pool(spark, sf)).select(day, "id", "position")
+    return PO.select_for_enrichment(pool(spark, sf)).select(day(), "id", "position")
 
 
 @register
@@ -521,20 +525,20 @@ def _mix(spark, sf):
 
 @register
 def mix_picks(spark, sf):
-    return _mix(spark, sf).picks.select(day, "mix_id", "rank", "id", "phase", "assigned_region",
+    return _mix(spark, sf).picks.select(day(), "mix_id", "rank", "id", "phase", "assigned_region",
                                         F.round("final_score", 6).alias("score"))
 
 
 @register
 def mix_summaries(spark, sf):
     s = _mix(spark, sf).summary
-    return s.select(day, "mix_id", "pool_total", "qualifying", "distinct_stories", "regional_stories",
+    return s.select(day(), "mix_id", "pool_total", "qualifying", "distinct_stories", "regional_stories",
                     "fallback_slots", "fallback_reason", "unfilled", joined("selected_ids", ",").alias("ids"))
 
 
 @register
 def mix_logs(spark, sf):
-    return _mix(spark, sf).audit.select(day, "mix_id", "id", F.round("final_score", 6).alias("score"),
+    return _mix(spark, sf).audit.select(day(), "mix_id", "id", F.round("final_score", 6).alias("score"),
                                         "phase", "rejection_reason")
 
 
@@ -543,7 +547,7 @@ def mix_reports(spark, sf):
     p = pool(spark, sf)
     m = _mix(spark, sf)
     r = PO.pool_report(PO.pool_identity(PO.freeze_pool(p)), m.summary, m.picks, m.audit)
-    return r.select(day, "mix_id", "pool_identity", F.size("selection_phases").alias("selected"),
+    return r.select(day(), "mix_id", "pool_identity", F.size("selection_phases").alias("selected"),
                     joined("rejected_duplicates", ",").alias("rejected_duplicates"))
 
 
@@ -622,7 +626,7 @@ def served_edition(spark, sf):
         F.lit('{"number":'), "number", F.lit(',"listen":{"en":{"audioURL":"https://cdn.example.com/audio/'),
         F.when(F.col("number") == F.dayofmonth(DATE) % 7, F.lit("2026-01-01")).otherwise(F.col(DATE).cast("string")),
         F.lit('/clip.mp3"}}}')).alias("json"))
-    return Q.latest_edition(s).select(day, "number")
+    return Q.latest_edition(s).select(day(), "number")
 
 
 @register
@@ -681,7 +685,7 @@ def edition_images(spark, sf):
     e = editions(spark, sf)
     return IM.assign_images(e.select(DATE, "number", "lead", "category", "headline", "summary"),
                             image_pools(spark, sf), H.recent_images(e, e, window=2)).select(
-        day, "number", "imageURL", "topic", "tier")
+        day(), "number", "imageURL", "topic", "tier")
 
 
 @register
@@ -689,20 +693,20 @@ def built_editions(spark, sf):
     e = J.edition_job(I.candidates(spark, sf), editions(spark, sf))
     b = J.build_job(written(J.draft_job(e.picks, _articles(spark, sf)), "drafts"), image_pools(spark, sf),
                     editions(spark, sf))
-    return b.edition.select(day, "number", "headline", "summary", "imageURL", "readTime")
+    return b.edition.select(day(), "number", "headline", "summary", "imageURL", "readTime")
 
 
 @register
 def enriched_pools(spark, sf):
     p = written(PO.freeze_pool(pool(spark, sf)), "pool")
     e = J.enrichment_job(p, _articles(spark, sf), image_pools(spark, sf), H.recent_images(p, editions(spark, sf)))
-    return e.dates.select(day, "survivors", flag(F.col("ok")).alias("ok"))
+    return e.dates.select(day(), "survivors", flag(F.col("ok")).alias("ok"))
 
 
 @register
 def recovery_rounds(spark, sf):
     r = J.recovery_job(I.candidates(spark, sf), editions(spark, sf), _articles(spark, sf))
-    return r.attempts.select(day, "attempt", "kind", "result", joined("failed_ids", ",").alias("failed_ids"))
+    return r.attempts.select(day(), "attempt", "kind", "result", joined("failed_ids", ",").alias("failed_ids"))
 
 
 # --- spoken versions (J10, A12, A13, W4, V13) --------------------------------------------------
@@ -740,7 +744,7 @@ def track_outcomes(spark, sf):
     e = editions(spark, sf).withColumns({"listen_format": F.lit(None).cast("string"),
                                          "listen": F.lit(None).cast(DG.TRACKS)})
     r = DG.inject_tracks(e, _tracks(spark, sf), "https://cdn.example.com")
-    return r.select(day, "number", "outcome", F.element_at("listen", "en")["audioURL"].alias("audio"))
+    return r.select(day(), "number", "outcome", F.element_at("listen", "en")["audioURL"].alias("audio"))
 
 
 @register
@@ -748,7 +752,7 @@ def track_outcome_counts(spark, sf):
     e = editions(spark, sf).withColumns({"listen_format": F.lit(None).cast("string"),
                                          "listen": F.lit(None).cast(DG.TRACKS)})
     return DG.outcome_counts(DG.inject_tracks(e, _tracks(spark, sf), "https://cdn.example.com")).select(
-        day, "outcome", "n")
+        day(), "outcome", "n")
 
 
 @register
