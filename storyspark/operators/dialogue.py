@@ -59,17 +59,19 @@ def inject_tracks(editions: DataFrame, manifest: DataFrame, base_url: str) -> Da
         {"format": "_format", "tracks": "_tracks"})
     df = editions.join(blocks, [DATE, "number"], "left")
     have = F.col("listen").isNotNull()
-    fresh = F.coalesce("_tracks", F.map_from_arrays(F.array(), F.array()).cast(TRACKS))
-    new = F.map_filter(fresh, lambda lang, _: ~F.coalesce(
-        F.map_contains_key("listen", lang), F.lit(False)))
-    outcome = (F.when(have, F.when(F.size(new) > 0, F.lit("merged")).otherwise(F.lit("preserved")))
+    known = F.coalesce(F.map_keys("listen"), F.array().cast("array<string>"))
+    df = df.withColumn("_fresh", F.coalesce(
+        "_tracks", F.map_from_arrays(F.array(), F.array()).cast(TRACKS)))
+    df = df.withColumn("_new", F.map_filter("_fresh", lambda lang, track: ~F.array_contains(known, lang)))
+    usable = F.size("_fresh") > 0
+    outcome = (F.when(have & (F.size("_new") > 0), F.lit("merged")).when(have, F.lit("preserved"))
                .when(F.col("_tracks").isNull(), F.lit("no_entry"))
-               .when(F.size(fresh) > 0, F.lit("injected")).otherwise(F.lit("skipped")))
-    merged = F.when(have, F.map_concat("listen", new)).when(F.size(fresh) > 0, fresh)
+               .when(usable, F.lit("injected")).otherwise(F.lit("skipped")))
+    df = df.withColumn("outcome", outcome)
     return df.withColumns({
-        "outcome": outcome,
-        "listen_format": F.when(have, F.col("listen_format")).when(F.size(fresh) > 0, F.col("_format")),
-        "listen": merged}).drop("_format", "_tracks")
+        "listen_format": F.when(have, F.col("listen_format")).when(usable, F.col("_format")),
+        "listen": F.when(have, F.map_concat("listen", "_new")).when(usable, F.col("_fresh")),
+    }).drop("_format", "_tracks", "_fresh", "_new")
 
 
 def inject_audio(editions: DataFrame, manifest: DataFrame, base_url: str) -> DataFrame:

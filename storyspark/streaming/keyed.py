@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import BooleanType, IntegerType, LongType, StructField, StructType
 
 from .. import vocab as V
 from ..functions import urls
@@ -42,7 +43,9 @@ def quota(events: DataFrame, key: str, ts: str, order: str, limit: int, seconds:
 
 def _quota_stream(e: DataFrame, key: str, ts: str, order: str, limit: int, seconds: int) -> DataFrame:
     """Streaming form: one counter per key and window, dropped when the watermark passes it."""
-    out = e.schema.add("allowed", "boolean").add("retry_after", "int")
+    out = StructType([*e.schema.fields, StructField("allowed", BooleanType()),
+                      StructField("retry_after", IntegerType())])
+    counter = StructType([StructField("n", LongType())])
 
     def step(_, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -66,7 +69,7 @@ def _quota_stream(e: DataFrame, key: str, ts: str, order: str, limit: int, secon
             state.setTimeoutTimestamp(end_ms)
 
     return (e.withWatermark(ts, f"{seconds} seconds").groupBy(key, "window_start")
-            .applyInPandasWithState(step, out, "n long", "append",
+            .applyInPandasWithState(step, out, counter, "append",
                                     GroupStateTimeout.EventTimeTimeout))
 
 
