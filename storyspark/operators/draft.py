@@ -127,9 +127,13 @@ def sentence_table(clean: Column, headline: Column, screened: Column) -> Column:
 def with_clean_sentences(df: DataFrame, body: str = "source_text", source: str = "source",
                          out: str = "clean") -> DataFrame:
     """Add the clean body sentences of a text column."""
-    clean = let(F.struct(F.col("_text").alias("t"), names.brand_key(source).alias("b")),
-                lambda v: T.clean_sentences(v["t"], v["b"]))
-    return df.withColumn("_text", T.unescape(text(body))).withColumn(out, clean).drop("_text")
+    return df.withColumn("_text", T.unescape(text(body))).withColumn(
+        out, _clean(F.col("_text"), source)).drop("_text")
+
+
+def _clean(decoded: Column, source) -> Column:
+    return let(F.struct(decoded.alias("t"), names.brand_key(source).alias("b")),
+               lambda v: T.clean_sentences(v["t"], v["b"]))
 
 
 def without_headline(clean: Column, headline: Column) -> Column:
@@ -145,11 +149,11 @@ def draft(items: DataFrame) -> DataFrame:
     """
     none = (F.col("source_text_used") == "none") | (F.col("source_text") == "")
     snippet_only = F.col("source_text_used") == "rss_snippet"
-    df = with_clean_sentences(spread(items), "source_text", "source", "_found")
+    df = spread(items).withColumn("_plain", T.unescape(text("source_text")))
+    df = df.withColumn("_found", _clean(F.col("_plain"), "source"))
     df = df.withColumn("_clean", without_headline(F.col("_found"), F.col("title")))
     df = df.withColumn("_sents", sentence_table(F.col("_clean"), F.col("title"),
                                                 F.col("_clean") == F.col("_found")))
-    df = df.withColumn("_plain", T.unescape("source_text"))
     raw = F.when(snippet_only, F.regexp_replace(F.trim(F.regexp_replace(
         T.py_strip(F.col("_plain")), r"(?U)\s+", " ")), r"\s+([,.;:!?])", "$1")).otherwise(F.lit(""))
     bare = F.size("_clean") == 0
