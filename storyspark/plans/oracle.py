@@ -488,6 +488,38 @@ _POOLED = CANDIDATES_SQL + _DROPS + ", kept0 AS (SELECT * EXCLUDE (canonical_url
     _SCORE[len(CANDIDATES_SQL):].replace("FROM candidates)", "FROM kept0)")) + f""",
  pool AS (SELECT *, {_TOPICS} AS topics, {_FP} AS fp, CASE WHEN cluster_size > 1 THEN 'cluster:' || cluster_id ELSE 'url:' ||
    substring(sha256(canonical_url), 1, 24) END AS identity FROM sc WHERE {_EXCL} IS NULL)"""
+
+def _membership_json(region):
+    t, s = _evidence(region, "tf", "title"), _evidence(region, "sf", "summary")
+    given = "(seq // 10) % 16 = 5" if region == "united_states" else "false"
+    only = (f"({t} = ['japanese:title'] AND {rx('tf', V.REGION_COMPANIES)} AND len({s}) = 0)"
+            if region == "japan" else "false")
+    strength = (f"CASE WHEN {given} THEN 'primary' WHEN {only} THEN 'incidental' WHEN len({t}) > 0 OR len({s}) >= 2 "
+                f"THEN 'primary' WHEN len({s}) > 0 THEN 'incidental' ELSE 'none' END")
+    return ("'{\"evidence\":' || CAST(to_json(CASE WHEN " + given + " THEN [" + q(region + ":structured")
+            + f"] ELSE list_sort(list_concat({t}, {s})) END) AS VARCHAR) || ',\"id\":\"{region}\",\"strength\":\"' || "
+            + strength + " || '\"}'")
+
+
+def _j(name, e):
+    return f"""',"{name}":' || CAST(to_json({e}) AS VARCHAR)"""
+
+
+_SCORE_TEXT = ("regexp_replace(regexp_replace(CAST(CAST(round(base, 6) AS DECIMAL(12,6)) AS VARCHAR), "
+               "'(\\.[0-9]*?)0+$', '\\1'), '\\.$', '')")
+_JSON = " || ".join([
+    f"""'{{"baseScore":' || {_SCORE_TEXT}""", _j("category", "category"), """',"eligible":true'""",
+    _j("headline", "title"), _j("id", "id"), _j("publishedAt", "strftime(published_at, '%Y-%m-%dT%H:%M:%SZ')"),
+    """',"quality":{"clusterSize":' || cluster_size || ',"clusterSources":' || cluster_sources || """
+    """',"eligible":true,"paywalled":' || CAST(paywalled AS VARCHAR) || ',"sourceRisk":' || source_risk || '}'""",
+    "',\"regionMemberships\":[' || " + " || ',' || ".join(_membership_json(r) for r in V.SUPPORTED_REGIONS) + " || ']'",
+    _j("source", "source"), _j("sourceReliability", "source_reliability"), _j("summary", "trim(snippet)"),
+    _j("topicFingerprint", "fp"), _j("topics", "topics"), _j("underlyingStoryIdentity", "identity"),
+    _j("url", "canonical_url"), "'}'"])
+_FROZEN = f"{_POOLED}, fz AS (SELECT edition_date, id, canonical_url, identity, round(base, 6) AS score, {_JSON} AS json FROM pool)"
+ORACLE["frozen_pool"] = (f"WITH {_FROZEN} SELECT {D}, id, md5(json) AS digest, canonical_url AS url, identity, score FROM fz")
+ORACLE["pool_identities"] = f"""WITH {_FROZEN} SELECT {D}, count(*) AS rows, CAST(sum(strlen(json)) + count(*) + 1 AS BIGINT) AS bytes,
+  sha256('[' || string_agg(json, ',' ORDER BY id, json) || ']') AS pool_identity FROM fz GROUP BY edition_date"""
 ORACLE["mix_eligibility"] = f"""WITH {_POOLED}, mem AS ({" UNION ALL ".join(_member(r) for r in ("japan", "world"))}),
  jw AS (SELECT seq, max(CAST(strength = 'primary' AS INTEGER)) AS p FROM mem GROUP BY seq),
  a AS (SELECT *, CASE WHEN seq % 19 = 0 THEN '' ELSE source END AS src,
