@@ -13,7 +13,6 @@ from .. import vocab as V
 from ..functions import names, prose as P, text as T, urls
 from ..functions.rules import hits, in_list, str_array, text
 from ..functions.prose import let
-from ..session import spread
 from .violations import each, rule, union, violations
 
 DATE = "edition_date"
@@ -149,7 +148,7 @@ def draft(items: DataFrame) -> DataFrame:
     """
     none = (F.col("source_text_used") == "none") | (F.col("source_text") == "")
     snippet_only = F.col("source_text_used") == "rss_snippet"
-    df = spread(items).withColumn("_plain", T.unescape(text("source_text")))
+    df = items.withColumn("_plain", T.unescape(text("source_text")))
     df = df.withColumn("_found", _clean(F.col("_plain"), "source"))
     df = df.withColumn("_clean", without_headline(F.col("_found"), F.col("title")))
     df = df.withColumn("_sents", sentence_table(F.col("_clean"), F.col("title"),

@@ -73,7 +73,7 @@ def freeze_pool(pool: DataFrame) -> DataFrame:
         "memberships": F.array_sort(F.transform("memberships", lambda m: F.struct(
             m["id"].alias("id"), m["strength"].alias("strength"),
             F.array_sort(m["evidence"]).alias("evidence")))),
-    }).select(*POOL_COLUMNS).repartition(DATE).sortWithinPartitions(DATE, "id")
+    }).select(*POOL_COLUMNS).repartitionByRange(DATE, "id").sortWithinPartitions(DATE, "id")
 
 
 def pool_json() -> Column:

@@ -22,6 +22,7 @@ HOT_SHARE = 64                 # a token in more than 1/64 of the rows is ordere
 PAIRS_PER_ROW = 200            # candidate pairs per row allowed before a chunk is halved
 PAIRS_FLOOR = 2_000_000
 MAX_ROUNDS = 200
+RANGE_ROWS = 10_000
 
 
 def _hot_tokens(sets: DataFrame) -> dict:
@@ -195,13 +196,16 @@ def cluster_titles(df: DataFrame, title: str = "title") -> DataFrame:
 def number_rows(df: DataFrame, keys: list[str], order: str, out: str) -> DataFrame:
     """Dense 0-based numbering of unique ``order`` values per key, without one task per key.
 
-    Rows are cut into order ranges; a row's number is the size of the key's earlier ranges plus
-    its place inside its own range.
+    Rows are cut into order ranges of about ten thousand rows, as wide as each key's values need; a
+    row's number is the size of the key's earlier ranges plus its place inside its own range.
     """
     from pyspark.sql import Window
 
-    width = 10_000
-    cut = df.withColumn("_bin", F.floor(F.col(order) / width))
+    span = df.groupBy(*keys).agg(F.min(order).alias("_lo"), F.max(order).alias("_hi"),
+                                 F.count("*").alias("_c"))
+    width = F.ceil((F.col("_hi") - F.col("_lo") + 1) / F.ceil(F.col("_c") / RANGE_ROWS))
+    cut = df.join(span, keys).withColumn(
+        "_bin", F.floor((F.col(order) - F.col("_lo")) / width)).drop("_lo", "_hi", "_c")
     sizes = cut.groupBy(*keys, "_bin").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     offset = sizes.withColumn("_o", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")

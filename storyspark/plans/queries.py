@@ -224,7 +224,7 @@ def region_quotas(spark, sf):
 def paste_detection(spark, sf):
     c = I.read(spark, sf, "conversations")
     first = c.filter("turn <= 1").groupBy("conv_id").agg(F.min_by("text", "turn").alias("source"))
-    rows = spread(c.join(first, "conv_id")).withColumn("runs", N.paste_runs("text", "source"))
+    rows = c.join(first, "conv_id").withColumn("runs", N.paste_runs("text", "source"))
     return rows.select("conv_id", "turn", F.size("runs").alias("n_runs"),
                        flag(N.is_paste(F.col("runs"), "text", "source")).alias("pasted"))
 

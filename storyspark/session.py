@@ -53,9 +53,10 @@ def written(df: DataFrame, label: str = "step") -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use every core for row-heavy work on a small input.
+    """Use every core for row-heavy work on a small file scan.
 
-    A large input has more splits than cores and is left alone; only one with fewer is dealt out.
+    A large scan has more splits than cores and is left alone; only one with fewer is dealt out.
+    Only for plain scans: asking a plan with shuffles for its partitions would run it.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

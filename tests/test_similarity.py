@@ -56,7 +56,8 @@ def test_leader_rounds(spark):
     assert {(r.k, r.node) for r in covered.collect()} == {("g", 2), ("g", 4), ("h", 9)}
 
 
-def test_number_rows(spark):
+def test_number_rows(spark, monkeypatch):
+    monkeypatch.setattr(S, "RANGE_ROWS", 2)
     df = spark.createDataFrame([("a", x) for x in (5, 10_001, 30_000, 30_001)] + [("b", 7)], "k string, o long")
     got = {(r.k, r.o): r.n for r in S.number_rows(df, ["k"], "o", "n").collect()}
     assert got == {("a", 5): 0, ("a", 10_001): 1, ("a", 30_000): 2, ("a", 30_001): 3, ("b", 7): 0}
