@@ -25,7 +25,8 @@ def topic_score(headline, summary, keywords: dict) -> Column:
             rx = r"(?U)\b" + re.escape(str(word).lower()) + r"\b"
             score = score + F.when(h.rlike(rx), 2).otherwise(0) + F.when(s.rlike(rx), 1).otherwise(0)
         out.append(F.struct((-score).alias("k"), F.lit(topic).alias("topic")))
-    return F.filter(F.array(*out), lambda x: x["k"] < 0)
+    scores = F.array(*out).cast("array<struct<k:int,topic:string>>")
+    return F.filter(scores, lambda x: x["k"] < 0)
 
 
 def match_topic(df: DataFrame, keywords: dict, headline="headline", summary="summary") -> DataFrame:

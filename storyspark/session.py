@@ -30,7 +30,7 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 def work_dir(spark: SparkSession) -> str:
     """Shared scratch folder: ``spark.checkpoint.dir``; a temporary one only in local mode."""
-    given = spark.conf.get("spark.checkpoint.dir", None)
+    given = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if given:
         return given.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
