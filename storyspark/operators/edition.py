@@ -140,7 +140,7 @@ def pick_supporting(pool: DataFrame, leads: DataFrame, need: int = 4) -> DataFra
 def select_edition(cands: DataFrame, editions: DataFrame, min_candidates: int = 20,
                    stale_hours: float = 48, fresh_hours: float = 36) -> Edition:
     """Run gates, repeat guard, lead and supporting picks for every date (fails closed per date)."""
-    scored = written(S.with_eligibility(S.score_candidates(cands, fresh_hours), stale_hours), "scored")
+    scored = written(S.with_eligibility(S.score_candidates(S.narrow(cands), fresh_hours), stale_hours), "scored")
     counts = scored.groupBy(DATE).agg(
         F.count("*").alias("total"), F.count_if("real_url").alias("urls"),
         F.count_if("eligible").alias("complete"),

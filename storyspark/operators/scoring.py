@@ -10,6 +10,15 @@ from ..functions import classify as C, names, times, urls
 from ..functions.rules import in_list, literal_map, text
 
 DATE = "edition_date"
+# What scoring and selection read of a candidate; anything else (such as article text) is not
+# carried through their shuffles.
+CANDIDATE = [DATE, "now", "seq", "id", "title", "source", "publisher", "category", "url",
+             "canonical_url", "published_at", "snippet", "paywalled", "source_reliability",
+             "structured_regions", "cluster_id", "cluster_size", "cluster_sources"]
+
+
+def narrow(cands: DataFrame) -> DataFrame:
+    return cands.select(*[c for c in CANDIDATE if c in cands.columns])
 
 
 def category_weight(category) -> Column:

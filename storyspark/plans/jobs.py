@@ -77,7 +77,7 @@ class Pool:
 
 def pool_job(cands: DataFrame, generated_at: Column, source: str = "daily-pipeline") -> Pool:
     """Candidates to a frozen, identified pool per date (Q4)."""
-    prepared = G.prepare_pool_source(cands)
+    prepared = G.prepare_pool_source(S.narrow(cands))
     usable = written(prepared.filter(F.col("drop_reason").isNull()).drop("drop_reason"), "source")
     built = written(P.build_pool(usable), "built")
     pool = written(P.freeze_pool(built.filter(F.col("exclusion_reason").isNull())), "pool")

@@ -79,14 +79,14 @@ def scored(spark, sf) -> DataFrame:
 @I.derived
 def pool(spark, sf) -> DataFrame:
     """Frozen pools, without the 6-hex ids that stand for several stories at larger sizes."""
-    built = PO.build_pool(G.prepare_pool_source(I.candidates(spark, sf)).filter(
+    built = PO.build_pool(G.prepare_pool_source(S.narrow(I.candidates(spark, sf))).filter(
         "drop_reason IS NULL").drop("drop_reason"))
     return built.filter(F.col("exclusion_reason").isNull())
 
 
 @I.derived
 def classed(spark, sf) -> DataFrame:
-    return S.with_classes(spread(I.candidates(spark, sf)))
+    return S.with_classes(spread(S.narrow(I.candidates(spark, sf))))
 
 
 # --- urls, text, times (F1-F22, P2-P4) ---------------------------------------------------------
@@ -284,7 +284,7 @@ def title_clusters(spark, sf):
 
 @register
 def ingest_job(spark, sf):
-    return J.ingest_job(I.raw_items(spark, sf), I.sources(spark)).candidates.select(
+    return J.ingest_job(I.raw_items(spark, sf).drop("body", "lang"), I.sources(spark)).candidates.select(
         day(), "seq", "id", "publisher", "category", "source_reliability", "cluster_id", "cluster_size",
         "cluster_sources")
 
