@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,9 +38,15 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` worked out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def words(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` in order; none for null."""
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"[^ \t-\r]++"), F.lit(0))
+    inner = F.btrim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\f\r"))
+    return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, r"[ \t-\r]+"))
 
 
 def pre_tokens(text: Column) -> Column:
@@ -59,3 +67,31 @@ def offsets(lengths: np.ndarray) -> np.ndarray:
 
 def can_broadcast(rows: int, row_bytes: int) -> bool:
     return rows * row_bytes <= BROADCAST_BYTES
+
+
+def runs(batches, keys: list[str]):
+    """Consecutive rows with equal ``keys`` as tables, from batches that are sorted by them.
+
+    Only one run is held at a time, so callers bound the size of a run.
+    """
+    import pyarrow as pa
+
+    held: list = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        change = np.zeros(batch.num_rows - 1, bool)
+        for values in columns:
+            change |= values[1:] != values[:-1]
+        cuts = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
+        if held and any(held[-1].column(k)[-1].as_py() != batch.column(k)[0].as_py() for k in keys):
+            yield pa.Table.from_batches(held)
+            held = []
+        for start, end in zip(cuts[:-1], cuts[1:]):
+            held.append(batch.slice(start, end - start))
+            if end < batch.num_rows:
+                yield pa.Table.from_batches(held)
+                held = []
+    if held:
+        yield pa.Table.from_batches(held)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storyspark.llm import bpe, token_counts
+from storyspark.llm import bpe, ngram_join, outliers, token_counts
 from storyspark.llm.common import documents
 
 COUNTING = "byte_bpe_50k.json"
@@ -26,6 +26,31 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op3_byte_bpe)}
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_join(documents(spark, sf_dir))
 
-ORACLE: dict[str, str] = {}
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outliers.quality_rules(documents(spark, sf_dir)).drop("distance")
+
+
+QUERIES = {f.__name__: f for f in (op2_token_counts, op3_byte_bpe, op4_ngram_join, op8_quality_rules)}
+
+WORDS = r"""list_filter(regexp_split_to_array(
+    {text}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"""
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE: dict[str, str] = {
+    "op4_ngram_join": f"""
+WITH RECURSIVE d AS (SELECT doc_id, {WORDS.format(text=LOWER)} AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+  ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS g
+  FROM d),
+t AS (SELECT doc_id, len(g) AS n, unnest(g) AS t FROM s),
+link AS (SELECT a.doc_id AS a, b.doc_id AS b FROM t a JOIN t b ON a.t = b.t AND a.doc_id <> b.doc_id
+  GROUP BY ALL HAVING 100 * count(*) >= 90 * (any_value(a.n) + any_value(b.n) - count(*))),
+reach AS (SELECT a, b FROM link UNION SELECT r.a, e.b FROM reach r JOIN link e ON r.b = e.a)
+SELECT doc_id, CAST(len(g) AS BIGINT) AS n_shingles,
+  least(doc_id, (SELECT min(b) FROM reach WHERE a = doc_id)) AS component_id,
+  (SELECT count(*) FROM link WHERE a = doc_id) AS n_links FROM s""",
+}
