@@ -95,3 +95,11 @@ def runs(batches, keys: list[str]):
                 held = []
     if held:
         yield pa.Table.from_batches(held)
+
+
+def without(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Rows of ``docs`` whose id is not in ``ids`` (a stored table): broadcast by hint if counted small."""
+    ids = ids.select(id_col).where(F.col(id_col).isNotNull()).distinct()
+    if can_broadcast(ids.count(), 16):
+        ids = F.broadcast(ids)
+    return docs.join(ids, id_col, "left_anti")

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storyspark.llm import bpe, ngram_join, outliers, token_counts
+from storyspark.llm import bpe, decontaminate, licenses, ngram_join, outliers, token_counts
 from storyspark.llm.common import documents
 
 COUNTING = "byte_bpe_50k.json"
@@ -34,13 +34,47 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.quality_rules(documents(spark, sf_dir)).drop("distance")
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op3_byte_bpe, op4_ngram_join, op8_quality_rules)}
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op9_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_token_counts, op3_byte_bpe, op4_ngram_join, op8_quality_rules,
+                                  op9_license_scans)}
 
 WORDS = r"""list_filter(regexp_split_to_array(
     {text}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"""
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+
+def _seed_rows(rows: str, key: str) -> str:
+    """SQL: every position of ``rows`` with its masked words, one row per mask."""
+    masks = " UNION ALL ".join(
+        f"SELECT {key}, p, '{m}' || " + " || ' ' || ".join(f"w[p + {k}]" for k, c in enumerate(m) if c == "1")
+        + f" AS seed FROM (SELECT {key}, w, unnest(range(1, len(w) - {len(m) - 2})) AS p FROM {rows})"
+        for m in decontaminate.MASKS)
+    return f"({masks})"
+
+
+_TOKENS = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
+
 ORACLE: dict[str, str] = {
+    "op1_decontamination": f"""
+WITH d AS (SELECT doc_id, {_TOKENS} AS w FROM documents),
+b AS (SELECT item_id, {_TOKENS} AS w FROM benchmark),
+hits AS (SELECT x.doc_id, y.item_id, d.w AS w, b.w AS v, x.p - y.p AS shift, least(len(b.w), 20) AS n,
+  greatest(0, least(y.p - 1 - CAST(floor((least(len(b.w), 20) - 8) / 2.0) AS BIGINT),
+                    len(b.w) - least(len(b.w), 20))) AS s
+  FROM {_seed_rows("d", "doc_id")} x JOIN {_seed_rows("b", "item_id")} y USING (seed)
+  JOIN d ON d.doc_id = x.doc_id JOIN b ON b.item_id = y.item_id),
+checked AS (SELECT doc_id, item_id, n, s + shift AS first_word, len(list_filter(range(s + 1, s + n + 1),
+  lambda k: k + shift >= 1 AND w[k + shift] = v[k])) AS n_equal FROM hits)
+SELECT doc_id, item_id, arg_min(first_word, -n_equal * 1000000000 + first_word) AS first_word,
+  arg_min(n, -n_equal * 1000000000 + first_word) AS n_compared, max(n_equal) AS n_equal
+FROM checked WHERE 100 * n_equal >= 80 * n GROUP BY ALL""",
     "op4_ngram_join": f"""
 WITH RECURSIVE d AS (SELECT doc_id, {WORDS.format(text=LOWER)} AS w FROM documents),
 s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
