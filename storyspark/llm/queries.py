@@ -106,8 +106,11 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     def listed(spans: Column) -> Column:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
+    def number(kind: str) -> Column:
+        return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     base = [k[0] for k in secrets_crf.KINDS]
-    counts = [F.size(F.filter("found", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in base]
+    counts = [number(k) for k in base]
     return found.select("doc_id", *counts, F.sha2(listed(F.filter("found", lambda s: s["kind"].isin(base))).cast("binary"),
                                                   256).alias("base_sha256"), listed(F.col("found")).alias("spans"))
 

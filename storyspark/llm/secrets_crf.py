@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storyspark.llm.common import small_batches
+from storyspark.session import written
 
 # FIXED: base patterns, the group that holds the secret and the least characters of that group.
 KINDS = (("assign", rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 8),
@@ -305,6 +306,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Fi
     rows = docs.select(F.xxhash64(F.col(id_col)).alias("h"), F.col(text_col).cast("binary").alias("text"))
     windows = rows.where((F.pmod("h", F.lit(1 << 20)) < int(share * (1 << 20))) & F.col("text").isNotNull()).mapInArrow(
         run, "h long, secret boolean, text binary, file_kind long, spans array<array<long>>")
+    windows = written(windows, "secret-windows")
     # Windows of equal hash (repeated ids) are ordered by their text.
     found = [r for secret in (True, False) for r in windows.where(F.col("secret") == secret)
              .orderBy("h", "text").limit(TRAIN_WINDOWS).collect()]
