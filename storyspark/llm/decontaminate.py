@@ -3,9 +3,10 @@
 A mask of ones and zeros says which of the words behind a position count; a substitution under a
 zero does not hide the match. Every position of benchmark and training texts gets one hash per mask;
 hits are verified by comparing the words of a window around the seed on the hit's diagonal, of which
-``SHARE`` percent must agree. Positions, hashes and probes stay in generated code; while the seeds are
-small (they are counted) they are broadcast and no text is shuffled, and beyond that the narrow
-(document, position, hash) rows meet them in a shuffled join.
+``SHARE`` percent must agree. Documents are cut into overlapping chunks, so a long text is not carried
+along with its positions. The narrow (chunk, position, hash) rows meet the seeds, which are broadcast
+while they are counted small and joined by shuffle beyond that; then only chunks with a hit are read
+again and verified.
 
 Defined cases: words are runs of letters and digits of the lower-cased text; null or empty texts have
 none; an item with fewer words than the shortest mask counts by the run of all its words, one without
@@ -24,6 +25,8 @@ from storyspark.session import written
 MASKS = ("11101011", "110010111", "1011001101")
 #: Words compared around a seed, and the percentage of them that must agree.
 WINDOW, SHARE = 20, 80
+#: Positions of a chunk of a document, and words it sees on both sides (no window or mask reaches further).
+CHUNK, CONTEXT = 256, WINDOW + max(map(len, MASKS))
 
 
 def tokens(text: Column) -> Column:
@@ -32,16 +35,39 @@ def tokens(text: Column) -> Column:
     return F.transform(F.filter(found, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def _seeds(masks: list[str]) -> Column:
+def _seeds(masks: list[str], at: Column) -> Column:
     """One hash per mask at position ``at`` of ``h``; null where the mask runs over the end."""
-    at, n = F.col("at"), F.size("h")
+    n = F.size("h")
     return F.array(*[F.when(at + len(m) <= n, F.xxhash64(F.lit(m), *[
         F.get("h", at + k) for k, c in enumerate(m) if c == "1"])) for m in masks])
 
 
 def _positions(rows: DataFrame, masks: list[str], *carried: str) -> DataFrame:
-    at = rows.where(F.size("h") > 0).select(*carried, "h", F.explode(F.sequence(F.lit(0), F.size("h") - 1)).alias("at"))
-    return at.select(*carried, "h", "at", F.explode(_seeds(masks)).alias("seed")).where("seed IS NOT NULL")
+    """``carried``, ``at`` and ``seed`` of every position that a row of words owns; the words stay behind."""
+    owned = F.sequence(F.col("low"), F.col("high"))
+    each = rows.where("low <= high").select(*carried, F.explode(F.transform(
+        owned, lambda at: F.struct(at.alias("at"), _seeds(masks, at).alias("seeds")))).alias("p"))
+    return each.select(*carried, F.col("p.at").alias("at"), F.explode("p.seeds").alias("seed")).where("seed IS NOT NULL")
+
+
+def _whole(items: DataFrame) -> DataFrame:
+    return items.select("item_id", F.col("item").alias("h"), F.lit(0).alias("low"), (F.size("item") - 1).alias("high"))
+
+
+def _chunks(rows: DataFrame) -> DataFrame:
+    """Words ``h`` in chunks that own ``CHUNK`` positions (``low`` to ``high``) and see the words around them.
+
+    A long text is thus never carried along with each of its positions.
+    """
+    n = F.size("h")
+    starts = F.sequence(F.lit(0), n - 1, F.lit(CHUNK))
+    cut = F.transform(starts, lambda s: F.struct(
+        F.greatest(s - CONTEXT, F.lit(0)).alias("origin"),
+        (s - F.greatest(s - CONTEXT, F.lit(0))).alias("low"),
+        (F.least(s + CHUNK, n) - 1 - F.greatest(s - CONTEXT, F.lit(0))).alias("high"),
+        F.slice("h", F.greatest(s - CONTEXT, F.lit(0)) + 1,
+                s - F.greatest(s - CONTEXT, F.lit(0)) + F.lit(CHUNK + CONTEXT)).alias("h")))
+    return rows.where(n > 0).select("doc_id", F.inline(cut))
 
 
 def _window() -> tuple[Column, Column]:
@@ -69,22 +95,31 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     short = [r.n for r in items.select(F.size("item").alias("n")).where(f"n BETWEEN 1 AND {shortest - 1}")
              .distinct().collect()]  # fewer values than the shortest mask has positions
     masks = [*MASKS, *("1" * n for n in sorted(short))]
-    own = items.select("item_id", F.col("item").alias("h"))
+    own = _whole(items)
     seeds = _positions(own, list(MASKS), "item_id").select("seed", "item_id", F.col("at").alias("item_at"))
     for n in short:
         seeds = seeds.union(_positions(own.where(F.size("h") == n), ["1" * n], "item_id").select("seed", "item_id", "at"))
-    seeds = written(seeds, "seeds").join(items, "item_id")
-    rows = docs.select(F.col(id_col).alias("doc_id"), tokens(F.col(text_col)).alias("h"))
-    size = seeds.agg(F.count("*").alias("n"), F.sum(F.size("item")).alias("words")).first()
+    seeds = written(seeds, "seeds")
+    chunks = _chunks(docs.select(F.col(id_col).alias("doc_id"), tokens(F.col(text_col)).alias("h")))
+    table = F.broadcast(seeds) if can_broadcast(seeds.count(), 64) else seeds
+    hits = written(_positions(chunks, masks, "doc_id", "origin").join(table, "seed")
+                   .select("doc_id", "origin", "item_id", "at", "item_at").distinct(), "hits")
+    hit = hits.select(F.col("doc_id").alias("_id")).distinct()
+    if can_broadcast(hit.count(), 64):
+        hit = F.broadcast(hit)
+    kept = docs.join(hit, docs[id_col].eqNullSafe(hit["_id"]), "left_semi")
+    kept = _chunks(kept.select(F.col(id_col).alias("_id"), tokens(F.col(text_col)).alias("h")).withColumnRenamed("_id", "doc_id"))
+    # Only chunks with a hit are verified, and each meets its own hits.
+    kept = kept.select(F.col("doc_id").alias("_id"), F.col("origin").alias("_origin"), "h")
+    hits = hits.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("origin") == F.col("_origin")))
+    size = items.agg(F.count("*").alias("n"), F.sum(F.size("item")).alias("words")).first()
     if can_broadcast(size.n, 64) and can_broadcast(size.words or 0, 8):
-        hits = _positions(rows, masks, "doc_id").join(F.broadcast(seeds), "seed")
-    else:
-        narrow = _positions(rows, masks, "doc_id").select("doc_id", "at", "seed").join(seeds.drop("item"), "seed")
-        narrow = narrow.select("doc_id", "item_id", "at", "item_at").distinct().join(items, "item_id")
-        hits = narrow.join(rows.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
+        items = F.broadcast(items)
+    hits = hits.join(items, "item_id")
     start, length = _window()
-    checked = (hits.select("doc_id", "item_id", "h", "item", "at", "item_at", start.alias("start"), length.alias("length"))
-               .select("doc_id", "item_id", "length", (F.col("at") - F.col("item_at") + F.col("start")).alias("first_word"),
+    checked = (hits.select("doc_id", "item_id", "origin", "h", "item", "at", "item_at", start.alias("start"), length.alias("length"))
+               .select("doc_id", "item_id", "length", (
+                  F.col("origin") + F.col("at") - F.col("item_at") + F.col("start")).alias("first_word"),
                        _agreeing().alias("n_equal"))
                .where(F.col("n_equal") * 100 >= F.col("length") * SHARE))
     best = F.max(F.struct("n_equal", (-F.col("first_word")).alias("first"), "length")).alias("best")
