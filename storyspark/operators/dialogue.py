@@ -36,17 +36,21 @@ def listen_blocks(manifest: DataFrame, base_url: str) -> DataFrame:
     """(edition_date, number, format, tracks): usable tracks per story of a flat manifest.
 
     ``manifest``: edition_date, number, format, lang, audioURL, key, gap, captions.  A story has a
-    handful of languages, so its tracks are collected into one map.
+    handful of languages, so its tracks are collected into one map.  Of several usable rows for one
+    language the one with the smallest URL counts, then the smallest gap.
     """
     built = manifest.withColumn("_u", track_url("audioURL", "key", base_url))
     ok = F.col("_u").isNotNull() & _good_captions(F.col("captions"))
     gap = F.when(F.coalesce(F.col("gap") >= 0, F.lit(False)), F.col("gap")).otherwise(F.lit(0.0))
-    track = F.struct("lang", F.struct(F.col("_u").alias("audioURL"), gap.alias("gap"),
-                                      F.col("captions").alias("captions")).cast(TRACK).alias("t"))
-    return built.groupBy(DATE, "number").agg(
-        F.coalesce(F.max(F.when(F.trim(text("format")) != "", F.col("format"))),
-                   F.lit("dialogue")).alias("format"),
-        F.map_from_entries(F.collect_list(F.when(ok, track))).alias("tracks"))
+    track = F.struct(F.col("_u").alias("audioURL"), gap.alias("gap"),
+                     F.col("captions").alias("captions")).cast(TRACK)
+    per_lang = built.groupBy(DATE, "number", "lang").agg(
+        F.max(F.when(F.trim(text("format")) != "", F.col("format"))).alias("format"),
+        F.min(F.when(ok, track)).alias("t"))
+    entry = F.when(F.col("lang").isNotNull() & F.col("t").isNotNull(), F.struct("lang", "t"))
+    return per_lang.groupBy(DATE, "number").agg(
+        F.coalesce(F.max("format"), F.lit("dialogue")).alias("format"),
+        F.map_from_entries(F.collect_list(entry)).alias("tracks"))
 
 
 def inject_tracks(editions: DataFrame, manifest: DataFrame, base_url: str) -> DataFrame:

@@ -74,7 +74,7 @@ def _offers(size: int, discovery: bool) -> tuple[dict, dict, Column, Column]:
              .when(F.col("_n") < V.CATEGORY_CAP + 2, F.lit(2)))
     open_slot = ((F.size(chosen) < size) & (F.col("seq") != F.col("lead_seq"))
                  & (F.col("id") != F.col("lead_id"))
-                 & F.coalesce(F.col("cluster_id") != F.col("lead_cluster"), F.lit(False))
+                 & ~F.col("cluster_id").eqNullSafe(F.col("lead_cluster"))
                  & ~F.exists(chosen, lambda s: s["seq"] == F.col("seq"))
                  & (F.size("_retold") == 0))
     delta, _ = S.mix_dynamic(chosen)
@@ -144,7 +144,9 @@ def select_edition(cands: DataFrame, editions: DataFrame, min_candidates: int =
     counts = scored.groupBy(DATE).agg(
         F.count("*").alias("total"), F.count_if("real_url").alias("urls"),
         F.count_if("eligible").alias("complete"),
-        F.countDistinct(F.when(F.col("eligible") & ~F.col("live"), F.col("cluster_id")))
+        (F.countDistinct(F.when(F.col("eligible") & ~F.col("live"), F.col("cluster_id")))
+         # A story without a cluster is one of its own.
+         + F.count_if(F.col("eligible") & ~F.col("live") & F.col("cluster_id").isNull()))
          .alias("calm_clusters"))
     # Live blogs join only where fewer than five other stories stand.
     eligible = scored.filter("eligible").join(counts, DATE).filter(
@@ -162,7 +164,7 @@ def select_edition(cands: DataFrame, editions: DataFrame, min_candidates: int =
                      F.col("lead.cluster_id").alias("lead_cluster")), DATE, "left"))
     support = pool.join(leads.select(DATE, F.col("lead.story.id").alias("_l"),
                                      F.col("lead.cluster_id").alias("_c")), DATE).filter(
-        (F.col("cluster_id") != F.col("_c")) & (F.col("id") != F.col("_l"))).groupBy(DATE).agg(
+        ~F.col("cluster_id").eqNullSafe(F.col("_c")) & (F.col("id") != F.col("_l"))).groupBy(DATE).agg(
             F.count("*").alias("support"))
     early = facts.join(support, DATE, "left").withColumn(
         "gate", F.when(F.col("total") < min_candidates, GATES[0])
@@ -223,7 +225,7 @@ def audit(edition: Edition, limit: int = 20) -> DataFrame:
     w = Window.partitionBy(DATE).orderBy(F.col("_static").desc(), F.col("id"), F.col("seq"))
     others = (rows.join(edition.picks.filter("lead").select(
                   DATE, F.col("cluster_id").alias("_lc"), F.col("id").alias("_li")), DATE)
-              .filter((F.col("cluster_id") != F.col("_lc")) & (F.col("id") != F.col("_li"))))
+              .filter(~F.col("cluster_id").eqNullSafe(F.col("_lc")) & (F.col("id") != F.col("_li"))))
     top = (others.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= limit)
            .select(DATE, "seq"))
     wanted = top.unionByName(picks.select(DATE, "seq")).distinct()

@@ -95,21 +95,48 @@ def pool_json() -> Column:
                     F.substr(F.to_json(rest, {"ignoreNullFields": "false"}), F.lit(2)))
 
 
+def _digest_rows(batches):
+    """One row per run of equal keys: the keys and the digest of their last column as a JSON array."""
+    import hashlib
+
+    import pyarrow as pa
+
+    key, digest, kinds = None, None, None
+
+    def row():
+        digest.update(b"]")
+        return pa.RecordBatch.from_arrays(
+            [*(pa.array([v], t) for v, t in zip(key, kinds)), pa.array([digest.hexdigest()])],
+            [*names, "_digest"])
+
+    for batch in batches:
+        names, kinds = batch.schema.names[:-1], [c.type for c in batch.columns[:-1]]
+        for *now, json in zip(*(c.to_pylist() for c in batch.columns)):
+            if digest is not None and now == key:
+                digest.update(b",")
+            else:
+                if digest is not None:
+                    yield row()
+                key, digest = now, hashlib.sha256(b"[")
+            digest.update(json.encode())
+    if digest is not None:
+        yield row()
+
+
 def document_identity(rows: DataFrame, keys, order: str, json: str, out: str,
                       max_bytes: int = V.MAX_POOL_BYTES) -> DataFrame:
-    """sha256 of the JSON array of a group's rows in ``order``.
+    """sha256 of the JSON array of a group's rows in ``order`` (A9), for documents of any size.
 
-    A hash reads its whole document, so only groups within the published size limit are put
-    together; larger ones get ``within_limit`` false and no identity.
+    A digest reads its document from front to back, so it is fed row by row from sorted partitions
+    and no document is ever put together.  ``within_limit`` says whether it may be published.
     """
     keys = list(keys)
     sizes = rows.groupBy(*keys).agg(F.count("*").alias("rows"), F.sum(
         F.octet_length(json)).alias("_b")).withColumn("bytes", F.col("_b") + F.col("rows") + 1)
-    small = sizes.filter(F.col("bytes") <= max_bytes).select(*keys)
-    hashed = rows.join(small, keys).groupBy(*keys).agg(F.sha2(F.concat(F.lit("["), F.array_join(
-        F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"),
-                                                         F.col(json).alias("j")))),
-                    lambda s: s["j"]), ","), F.lit("]")), 256).alias(out))
+    kinds = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys)
+    hashed = (rows.select(*keys, F.col(order).alias("_o"), F.col(json).alias("_j")).repartition(*keys)
+              .sortWithinPartitions(*keys, "_o", "_j").drop("_o")
+              .mapInArrow(_digest_rows, f"{kinds}, _digest string").withColumnRenamed("_digest", out))
     return sizes.join(hashed, keys, "left").select(
         *keys, "rows", "bytes", (F.col("bytes") <= max_bytes).alias("within_limit"), out)
 

@@ -75,7 +75,7 @@ class Pool:
     exclusions: DataFrame
 
 
-def pool_job(cands: DataFrame, generated_at: Column, source: str = "daily-pipeline") -> Pool:
+def pool_job(cands: DataFrame, generated_at: Column, source: str) -> Pool:
     """Candidates to a frozen, identified pool per date (Q4)."""
     prepared = G.prepare_pool_source(S.narrow(cands))
     usable = written(prepared.filter(F.col("drop_reason").isNull()).drop("drop_reason"), "source")

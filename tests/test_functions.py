@@ -1,3 +1,5 @@
+import random
+
 from pyspark.sql import functions as F
 
 from storyspark.functions import mixes as M, names, numbers as N, prose as P, text as T, times, urls
@@ -111,6 +113,20 @@ def test_paste(spark):
     assert [(r.n, r.p) for r in got] == [(1, True), (1, False), (0, False)]
 
 
+def test_paste_stretches_are_common_and_longest():
+    rng = random.Random(7)
+    for _ in range(300):
+        line, source = ("".join(rng.choice("abc") for _ in range(rng.randint(0, 40))) for _ in range(2))
+        runs, at = N._runs(line, source, 4), 0
+        for run in runs:
+            start = line.index(run, at)
+            assert len(run) >= 4 and run in source
+            assert not any(line[i:i + 4] in source for i in range(at, start) if i + 4 <= len(line))
+            assert start + len(run) == len(line) or line[start:start + len(run) + 1] not in source
+            at = start + len(run)
+        assert not any(line[i:i + 4] in source for i in range(at, len(line) - 3))
+
+
 def test_mix_identity_and_quotas(spark):
     df = spark.createDataFrame([(["U.S", "JP", "jpn"], ["AI", "Tech"])], "r array<string>, t array<string>")
     row = df.select(M.normalize_regions("r").alias("r"), M.normalize_topics("t").alias("t"),

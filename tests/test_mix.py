@@ -1,4 +1,5 @@
 import datetime as dt
+import hashlib
 import itertools
 import random
 
@@ -207,3 +208,14 @@ def test_pool_contract(spark):
     ident = P.pool_identity(df).first()
     assert len(ident.pool_identity) == 64 and ident.within_limit
     assert P.pool_identity(df.orderBy(F.desc("id")).repartition(3)).first().pool_identity == ident.pool_identity
+
+
+def test_identity_of_documents_of_any_size(spark):
+    rows = spark.range(4000).selectExpr("id % 3 AS k", "lpad(CAST(id AS STRING), 6, '0') AS o",
+                                        "concat('{\"é\":', id, ',\"t\":\"', repeat('x', 2000), '\"}') AS json")
+    got = {r.k: r for r in P.document_identity(rows.repartition(5), ["k"], "o", "json", "h").collect()}
+    for k in range(3):
+        whole = "[" + ",".join(r.json for r in rows.where(F.col("k") == k).orderBy("o").collect()) + "]"
+        assert got[k].h == hashlib.sha256(whole.encode()).hexdigest()
+        assert got[k].bytes == len(whole.encode()) > 2 << 20 and not got[k].within_limit
+    assert P.document_identity(rows.limit(0), ["k"], "o", "json", "h").count() == 0
