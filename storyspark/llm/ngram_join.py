@@ -38,6 +38,8 @@ BLOCK = 400
 RANGES = 16
 #: Words whose hash a worker remembers before it starts afresh.
 REMEMBERED = 500_000
+#: Rows of cells and pairs of rows that are filtered at once, about; pairs of a cell checked one by one.
+CELL_ROWS, PAIRS, FEW = 4_000, 500_000, 64
 
 
 class _Words(dict):
@@ -70,6 +72,29 @@ def shingles(text: bytes | None, size: int, known: _Words) -> np.ndarray:
     return np.unique(total)
 
 
+def many_shingles(texts: list[bytes | None], size: int, known: _Words) -> list[np.ndarray]:
+    """``shingles`` of every text, worked out for all of them at once."""
+    words = [(t or b"").lower().split() for t in texts]
+    counts = np.fromiter(map(len, words), np.int64, len(words))
+    codes = np.fromiter((known[w] for row in words for w in row), np.uint64, int(counts.sum()))
+    starts = offsets(counts)[:-1]
+    total = np.full(max(len(codes) - size + 1, 0), size, np.uint64)
+    for k in range(size):
+        total = _mixed(total + codes[k:k + len(total)])
+    text = np.repeat(np.arange(len(words)), counts)[:len(total)]
+    whole = np.arange(len(total)) + size <= (starts + counts)[text]
+    total, text = total[whole], text[whole]
+    order = np.lexsort((total, text))
+    total, text = total[order], text[order]
+    fresh = np.ones(len(total), bool)
+    fresh[1:] = (total[1:] != total[:-1]) | (text[1:] != text[:-1])
+    total, text = total[fresh], text[fresh]
+    rows = np.split(total, np.searchsorted(text, np.arange(1, len(words)))) if words else []
+    for k in np.flatnonzero((counts > 0) & (counts < size)).tolist():
+        rows[k] = shingles(texts[k], size, known)
+    return rows
+
+
 def _long(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
@@ -95,7 +120,7 @@ def _sets(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
         names = ["id", "n", "m1", "m2", "buckets", "counts"]
         none = pa.nulls
         for batch in batches:
-            rows = [shingles(t, size, known) for t in batch.column(1).to_pylist()]
+            rows = many_shingles(batch.column(1).to_pylist(), size, known)
             counts += np.bincount((np.concatenate(rows) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64),
                                   minlength=len(counts))
             marks = [_mark(r) for r in rows]
@@ -122,8 +147,7 @@ def _prefixes(docs: DataFrame, size: int, percent: int, counts: np.ndarray, id_c
         known, table = _Words(), shared.value
         for batch in batches:
             marks, tokens, ranges = [], [], []
-            for text in batch.column(1).to_pylist():
-                row = shingles(text, size, known)
+            for row in many_shingles(batch.column(1).to_pylist(), size, known):
                 n = len(row)
                 length = n - (percent * n + 99) // 100 + 1 if n else 0
                 rarity = table[(row >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
@@ -144,7 +168,7 @@ def _whole(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Words()
         for batch in batches:
-            rows = [shingles(t, size, known) for t in batch.column(0).to_pylist()]
+            rows = many_shingles(batch.column(0).to_pylist(), size, known)
             marks = [_mark(r) for r in rows]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([m[0] for m in marks], pa.int64()), pa.array([m[1] for m in marks], pa.int64()),
@@ -163,46 +187,118 @@ def _incidence(rows: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _whole_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables of whole cells, about ``CELL_ROWS`` rows each, from batches sorted by cell."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+        if sum(b.num_rows for b in held) < CELL_ROWS:
+            continue
+        table = pa.Table.from_batches(held).combine_chunks()
+        edges = np.flatnonzero(_changes(table))
+        if edges[-1]:
+            yield table.slice(0, int(edges[-1]))
+            held = table.slice(int(edges[-1])).combine_chunks().to_batches()
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _changes(table: pa.Table) -> np.ndarray:
+    """True on the first row of every cell."""
+    first = np.zeros(len(table), bool)
+    first[0] = True
+    for name in ("token", "x", "y"):
+        values = table.column(name).to_numpy()
+        first[1:] |= values[1:] != values[:-1]
+    return first
+
+
+def _first_meetings(cell: np.ndarray, tokens: list[list[int]], places: list[int], left: np.ndarray,
+                    right: np.ndarray) -> np.ndarray:
+    """Which pairs of rows share none of the tokens that come before the cell's token."""
+    keep = np.ones(len(left), bool)
+    bounds = np.searchsorted(cell[left], np.arange(cell[-1] + 2))
+    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        if a == b:
+            continue
+        rows = np.unique(np.concatenate([left[a:b], right[a:b]]))
+        before = [tokens[r][:places[r]] for r in rows.tolist()]
+        if not any(before):
+            continue
+        i, j = np.searchsorted(rows, left[a:b]), np.searchsorted(rows, right[a:b])
+        if b - a <= FEW:
+            sets = [set(t) for t in before]
+            keep[a:b] = [sets[m].isdisjoint(sets[n]) for m, n in zip(i.tolist(), j.tolist())]
+        else:
+            met = _incidence([np.array(t, np.int64) for t in before])
+            keep[a:b] = (met @ met.T)[i, j] == 0
+    return keep
+
+
 def _candidates(percent: int):
-    """A cell's members that have a candidate partner there, with the partners that come after them."""
+    """A cell's members that have a candidate partner there, with the partners that come after them.
+
+    The pairs of many small cells (or of one large one) are filtered at once.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for cell in runs(batches, ["token", "x", "y"]):
-            ids, first = np.unique(cell.column("cls").to_numpy(), return_index=True)
-            if len(ids) < 2:
-                continue
-            cell = cell.take(pa.array(first)).combine_chunks()
-            n, at = cell.column("n").to_numpy(), cell.column("at").to_numpy()
-            token = cell.column("token")[0].as_py()
-            before = [np.array(t[:t.index(token)], np.int64) for t in cell.column("tokens").to_pylist()]
-            need = -(-percent * (n[:, None] + n) // (100 + percent))
-            fits = 100 * np.minimum(n[:, None], n) >= percent * np.maximum(n[:, None], n)
-            left = n - at
-            fits &= np.minimum(left[:, None], left) >= need
-            block = cell.column("block").to_numpy()
-            if cell.column("x")[0].as_py() != cell.column("y")[0].as_py():
-                fits &= block[:, None] != block
-            fits = np.triu(fits, 1)
-            if fits.any() and sum(map(len, before)):
-                met = _incidence(before)
-                fits &= met @ met.T == 0
-            if fits.any():
-                ranges = np.stack(cell.column("ranges").to_numpy()).astype(np.int32)
-                rows, columns = np.nonzero(fits)
-                apart = np.abs(ranges[rows] - ranges[columns]).sum(axis=1)
-                keep = apart <= n[rows] + n[columns] - 2 * need[rows, columns]
-                rows, columns = rows[keep], columns[keep]
-                member = np.unique(np.concatenate([rows, columns]))
-                partners = [ids[columns[rows == m]] for m in member]
-                k = len(member)
+        for table in _whole_cells(batches):
+            cell = np.cumsum(_changes(table)) - 1
+            order = np.lexsort((table.column("cls").to_numpy(), cell))
+            table = table.take(pa.array(order)).combine_chunks()
+            ends = np.cumsum(np.bincount(cell))
+            after = ends[cell] - 1 - np.arange(len(cell))
+            n, at, cls = (table.column(c).to_numpy() for c in ("n", "at", "cls"))
+            block = np.where(table.column("x").to_numpy() != table.column("y").to_numpy(),
+                             table.column("block").to_numpy(), -1 - np.arange(len(cell)))
+            sizes = np.cumsum(after)
+            for lo, hi in _spans(sizes):
+                left = np.repeat(np.arange(lo, hi), after[lo:hi])
+                right = left + 1 + np.arange(len(left)) - np.repeat(
+                    sizes[lo:hi] - after[lo:hi] - (sizes[lo - 1] if lo else 0), after[lo:hi])
+                need = -(-percent * (n[left] + n[right]) // (100 + percent))
+                fits = 100 * np.minimum(n[left], n[right]) >= percent * np.maximum(n[left], n[right])
+                fits &= np.minimum((n - at)[left], (n - at)[right]) >= need
+                # In a cell of two blocks, a pair inside one block belongs to that block's own cell.
+                fits &= (block[left] != block[right]) & (cls[left] != cls[right])
+                left, right, need = left[fits], right[fits], need[fits]
+                if not len(left):
+                    continue
+                ranges = table.column("ranges").chunk(0).flatten().to_numpy().reshape(-1, RANGES).astype(np.int32)
+                keep = np.abs(ranges[left] - ranges[right]).sum(axis=1) <= n[left] + n[right] - 2 * need
+                left, right = left[keep], right[keep]
+                if not len(left):
+                    continue
+                used = np.unique(np.concatenate([left, right]))
+                lists = table.column("tokens").take(pa.array(used)).to_pylist()
+                names = table.column("token").to_numpy()[used].tolist()
+                i, j = np.searchsorted(used, left), np.searchsorted(used, right)
+                local = np.unique(cell[used], return_inverse=True)[1]
+                keep = _first_meetings(local, lists, [t.index(k) for t, k in zip(lists, names)], i, j)
+                left, right = left[keep], right[keep]
+                if not len(left):
+                    continue
+                member = np.unique(np.concatenate([left, right]))
+                bounds = offsets(np.bincount(np.searchsorted(member, left), minlength=len(member))).astype(np.int32)
+                rows = pa.array(member)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(k, token)), *(pa.array(np.full(k, cell.column(c)[0].as_py(), np.int32))
-                                                    for c in ("x", "y")),
-                     pa.array(ids[member]), _lists(partners, np.int64)],
+                    [*(table.column(c).take(rows).combine_chunks() for c in ("token", "x", "y", "cls")),
+                     pa.ListArray.from_arrays(pa.array(bounds), pa.array(cls[right]))],
                     ["token", "x", "y", "cls", "partners"])
 
     return run
 
 
+def _spans(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with about ``PAIRS`` pairs each, from running totals; every row is in one."""
+    lo = 0
+    while lo < len(sizes):
+        done = sizes[lo - 1] if lo else 0
+        hi = max(int(np.searchsorted(sizes, done + PAIRS, side="right")), lo + 1)
+        yield lo, hi
+        lo = hi
+
+
 def _verify(percent: int):
     """Sums of a cell's links by member, and each member's smallest linked member."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

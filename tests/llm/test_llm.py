@@ -120,6 +120,45 @@ def test_pipeline_stages_take_awkward_and_empty_tables(spark, awkward, empty):
                 assert sorted(out.columns) == sorted(docs.columns), name
 
 
+def test_shingles_of_many_texts_at_once():
+    rng = random.Random(4)
+    texts = [None, b"", b" \n", b"a", b"a b", "é A b É".encode(), *(
+        " ".join(rng.choice("a b c d".split()) for _ in range(rng.randint(1, 30))).encode() for _ in range(60)), b"z"]
+    known = ngram_join._Words()
+    for size in (1, 3, 5):
+        want = [ngram_join.shingles(t, size, known) for t in texts]
+        got = ngram_join.many_shingles(texts, size, known)
+        assert len(got) == len(want) and all(np.array_equal(a, b) for a, b in zip(got, want))
+    assert ngram_join.many_shingles([], 3, known) == []
+
+
+def test_ngram_join_with_split_cells(spark, monkeypatch):
+    """A third of the rows are near copies; cells are cut into small blocks and few pairs at a time."""
+    rng = random.Random(8)
+    base = [f"w{k}" for k in range(60)]
+    rows = []
+    for k in range(90):
+        words = base[:] if k % 3 == 0 else [f"v{rng.randint(0, 40)}" for _ in range(rng.randint(0, 50))]
+        if k % 3 == 0:
+            words[rng.randint(0, 59)] = f"x{k % 9}"
+        rows.append((k, " ".join(words)))
+    sets = {k: {tuple(t.split()[i:i + 3]) for i in range(len(t.split()) - 2)} or ({tuple(t.split())} if t else set())
+            for k, t in rows}
+    links = {(a, b) for a in sets for b in sets if a != b and sets[a] and sets[b]
+             and 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b])}
+    label = {k: k for k in sets}
+    for _ in sets:
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+    monkeypatch.setattr(ngram_join, "CELL_ROWS", 5)
+    monkeypatch.setattr(ngram_join, "PAIRS", 7)
+    monkeypatch.setattr(ngram_join, "FEW", 3)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in ngram_join.jaccard_join(df, block=4).collect()}
+    assert links and {k: r.component_id for k, r in got.items()} == label
+    assert {k: r.n_links for k, r in got.items()} == {k: sum(a == k for a, _ in links) for k in sets}
+
+
 def brute_secrets(text):
     """Base spans by the patterns as they are stated."""
     found = []
