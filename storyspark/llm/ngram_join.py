@@ -252,6 +252,7 @@ def _candidates(percent: int):
             block = np.where(table.column("x").to_numpy() != table.column("y").to_numpy(),
                              table.column("block").to_numpy(), -1 - np.arange(len(cell)))
             sizes = np.cumsum(after)
+            found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
             for lo, hi in _spans(sizes):
                 left = np.repeat(np.arange(lo, hi), after[lo:hi])
                 right = left + 1 + np.arange(len(left)) - np.repeat(
@@ -275,16 +276,18 @@ def _candidates(percent: int):
                 i, j = np.searchsorted(used, left), np.searchsorted(used, right)
                 local = np.unique(cell[used], return_inverse=True)[1]
                 keep = _first_meetings(local, lists, [t.index(k) for t, k in zip(lists, names)], i, j)
-                left, right = left[keep], right[keep]
-                if not len(left):
-                    continue
-                member = np.unique(np.concatenate([left, right]))
-                bounds = offsets(np.bincount(np.searchsorted(member, left), minlength=len(member))).astype(np.int32)
-                rows = pa.array(member)
-                yield pa.RecordBatch.from_arrays(
-                    [*(table.column(c).take(rows).combine_chunks() for c in ("token", "x", "y", "cls")),
-                     pa.ListArray.from_arrays(pa.array(bounds), pa.array(cls[right]))],
-                    ["token", "x", "y", "cls", "partners"])
+                found.append((left[keep], right[keep]))
+            # A span may end inside a cell: a member's row is made of the pairs of all spans.
+            left, right = (np.concatenate(side) for side in zip(*found))
+            if not len(left):
+                continue
+            member = np.unique(np.concatenate([left, right]))
+            bounds = offsets(np.bincount(np.searchsorted(member, left), minlength=len(member))).astype(np.int32)
+            rows = pa.array(member)
+            yield pa.RecordBatch.from_arrays(
+                [*(table.column(c).take(rows).combine_chunks() for c in ("token", "x", "y", "cls")),
+                 pa.ListArray.from_arrays(pa.array(bounds), pa.array(cls[right]))],
+                ["token", "x", "y", "cls", "partners"])
 
     return run
 

@@ -10,6 +10,7 @@ import re
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -159,6 +160,50 @@ def test_ngram_join_with_split_cells(spark, monkeypatch):
     assert {k: r.n_links for k, r in got.items()} == {k: sum(a == k for a, _ in links) for k in sets}
 
 
+@pytest.mark.parametrize("blocks", [1, 3])
+def test_ngram_join_with_cells_cut_between_spans(monkeypatch, blocks):
+    """A group of near copies has many times the pairs that are filtered at once (called in this process, as
+    workers import the module anew and do not see patched sizes)."""
+    rng = np.random.default_rng(9)
+    monkeypatch.setattr(ngram_join, "PAIRS", 1_000)
+    base = rng.integers(0, 2**64, 200, np.uint64, endpoint=False)
+    sets = []
+    for k in range(330):
+        own = base.copy()
+        changes = 1 + 7 * (k % 11 == 0)
+        own[rng.choice(199, changes, False) + 1] = rng.integers(0, 2**64, changes, np.uint64, endpoint=False)
+        sets.append(np.unique(own))
+    token = int(base[:1].view(np.int64)[0])
+    cells = [dict(token=token, x=min(k % blocks, o), y=max(k % blocks, o), block=k % blocks, cls=k, n=len(s), at=0,
+                  ranges=np.bincount((s >> np.uint64(60)).astype(int), minlength=ngram_join.RANGES).tolist(),
+                  tokens=[token]) for k, s in enumerate(sets) for o in range(blocks)]
+    cells = sorted((cells[i] for i in rng.permutation(len(cells))), key=lambda r: (r["x"], r["y"]))
+    schema = pa.schema([("token", pa.int64()), ("x", pa.int32()), ("y", pa.int32()), ("block", pa.int32()),
+                        ("cls", pa.int64()), ("n", pa.int64()), ("at", pa.int32()), ("ranges", pa.list_(pa.int32())),
+                        ("tokens", pa.list_(pa.int64()))])
+    batches = pa.Table.from_pylist(cells, schema).to_batches(max_chunksize=100)
+    found = pa.Table.from_batches(list(ngram_join._candidates(90)(iter(batches))))
+    members = [k for k in found.column("cls").to_pylist()]
+    found = found.append_column("copies", pa.array(np.ones(len(found), np.int64)))
+    found = found.append_column("hashes", pa.array([sets[k].view(np.int64) for k in members], pa.list_(pa.int64())))
+    links, label = [0] * len(sets), list(range(len(sets)))
+    for batch in ngram_join._verify(90)(iter(found.sort_by([("x", "ascending"), ("y", "ascending")]).to_batches())):
+        for r in batch.to_pylist():
+            links[r["cls"]] += r["links"]
+            a, b = label[r["cls"]], label[r["root"]]
+            label = [min(a, b) if x in (a, b) else x for x in label]
+    both = np.array([[len(np.intersect1d(a, b, True)) for b in sets] for a in sets])
+    sizes = np.array([len(s) for s in sets])
+    linked = (100 * both >= 90 * (sizes[:, None] + sizes - both)) & ~np.eye(len(sets), dtype=bool)
+    want = list(range(len(sets)))
+    for a, b in zip(*np.nonzero(linked)):
+        if want[a] != want[b]:
+            low, high = sorted((want[a], want[b]))
+            want = [low if x == high else x for x in want]
+    assert links == linked.sum(1).tolist() and max(links) >= 299
+    assert label == want
+
+
 def brute_secrets(text):
     """Base spans by the patterns as they are stated."""
     found = []
