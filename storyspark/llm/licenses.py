@@ -1,14 +1,13 @@
-"""License scans by a positional index of rare licence words (operator 9), in DataFrame functions only.
+"""License scans by a positional index of licence words (operator 9), in DataFrame functions only.
 
 One scan keeps, per text, the positions of the words that occur in licence templates. Their document
-frequencies over the whole corpus give IDF weights. Each file's highest-IDF licence words are looked
-up in the templates' postings and intersected by relative position (file position minus template
-position); an offset whose postings hold enough of the template's weight is verified by the
+frequencies over the whole corpus give IDF weights. All indexed words of a file are looked up in the
+templates' postings and intersected by relative position (file position minus template position), so
+one notice never hides another; an offset whose postings hold enough of the template's weight is verified by the
 template's mandatory phrase near it. The base phrases are found by the same intersection, complete.
 
 Defined cases: words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z; null and empty
-texts have none, no labels and score 0; ties between equally rare words go by the word; repeated rows
-give repeated results; a null id stays null; other columns of the input are ignored.
+texts have none, no labels and score 0; repeated rows give repeated results; a null id stays null; other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -43,8 +42,6 @@ TEMPLATES = [
 ]
 # FIXED: template words too common to index; phrases still use them.
 PLAIN = "a and any are for in into is of or the this to with".split()
-#: Licence words of a file that are looked up, rarest first.
-RARE = 12
 #: Share of a template's indexed IDF weight that one offset must hold.
 ENOUGH = 0.6
 #: Words between a template's offset and its mandatory phrase at most, beyond the template itself.
@@ -98,17 +95,11 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                      .agg(F.count("*").alias("n")).where(F.col("n") == long_enough)
                      .select("row", "phrase", "start"), "places")
 
-    looked_up = F.slice(F.array_sort(F.transform(
-        F.array_distinct(F.col("seen.word")), lambda w: F.struct((-F.element_at("idfs", w)).alias("idf"), w.alias("word")))),
-        1, RARE)
-    weights = idf.agg(F.map_from_entries(F.collect_list(F.struct("word", "idf"))).alias("idfs"))  # the fixed vocabulary
-    rare = (met.crossJoin(F.broadcast(weights)).select("row", "seen", looked_up.alias("rare"))
-            .select("row", F.inline(F.filter("seen", lambda e: F.exists("rare", lambda r: r["word"] == e["word"])))))
     index = written(spark.createDataFrame(postings, "word string, template int, place int").join(idf, "word"), "index")
     whole = index.groupBy("template").agg(F.sum("idf").alias("whole"))
     table = spark.createDataFrame([(k, label, phrase, len(text.split())) for k, (label, text, phrase) in
                                    enumerate(TEMPLATES)], "template int, label string, phrase string, size int")
-    found = (rare.join(F.broadcast(index), "word")
+    found = (rows.join(F.broadcast(index), "word")
              .groupBy("row", "template", (F.col("at") - F.col("place")).alias("offset"))
              .agg(F.sum("idf").alias("held"))
              .join(F.broadcast(whole), "template").join(F.broadcast(table), "template")

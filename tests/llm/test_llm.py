@@ -361,6 +361,22 @@ def test_license_base_by_brute_force(spark, texts):
         assert labels <= set(r.labels.split(",")) and 0 <= r.score <= 1
 
 
+def test_licenses_of_files_with_several_notices(spark):
+    """Every notice that stands in a file in full is found, whatever stands beside it."""
+    rng = random.Random(6)
+    filler = "the river and window plain harbour letter software license copy use free public".split()
+    notices = [((label,), text) for label, text, _ in licenses.TEMPLATES]
+    files = [*notices, *(((a[0][0], b[0][0]), f"{a[1]} {b[1]}") for a in notices for b in notices if a is not b),
+             (tuple(label for label, *_ in licenses.TEMPLATES), "\n".join(text for _, text in notices))]
+    # Words of base phrases and single licence words are frequent, as in a corpus.
+    files += [((), " ".join(rng.choice(filler) for _ in range(30)) + " all rights reserved") for _ in range(300)]
+    df = spark.createDataFrame([(k, text) for k, (_, text) in enumerate(files)], "doc_id long, text string")
+    for r in licenses.scan_licenses(df).collect():
+        labels = set(files[r.doc_id][0])
+        assert labels <= set(r.labels.split(",")), files[r.doc_id]
+        assert labels or (r.labels, r.score) == ("reserved", 0)
+
+
 def test_quality_base_by_brute_force(spark, texts):
     for r in queries.op8_quality_rules(spark, DIR).collect():
         text = texts[r.doc_id]
