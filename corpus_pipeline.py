@@ -26,8 +26,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near duplicates: the one with the smallest id."""
-    joined = ngram_join.jaccard_join(docs)
+    """One document of every group of near duplicates (five-word shingles, Jaccard 0.8 or more): the one
+    with the smallest id."""
+    joined = ngram_join.jaccard_join(docs, size=5, percent=80)
     return without(docs, written(joined.where("component_id <> doc_id").select("doc_id"), "copies"))
 
 

@@ -400,3 +400,36 @@ def test_pipeline_by_stages(spark, texts):
     docs = spark.read.parquet(f"{DIR}/documents.parquet").where(F.col("doc_id").isin(list(ids)))
     assert all(r.component_id == r.doc_id for r in ngram_join.jaccard_join(docs).collect())
     assert decontaminate.leaks(docs, spark.read.parquet(f"{DIR}/benchmark.parquet")).isEmpty()
+
+
+def test_pipeline_join_takes_five_words_and_four_fifths(spark):
+    """The stage drops what a plain comparison at five words and 0.8 drops, and nothing else."""
+    rng = random.Random(12)
+    rows = []
+    for group in range(24):
+        words = [f"g{group}w{j}" for j in range(100 + 10 * (group % 9))]
+        for changes in (0, rng.choice((1, 2, 3)), rng.choice((2, 3, 4, 6))):
+            copy = words[:]
+            for at in rng.sample(range(5, len(words) - 5), changes):
+                copy[at] = f"x{len(rows)}y{at}"
+            rows.append((len(rows), " ".join(copy)))
+    rows += [(len(rows) + k, t) for k, t in enumerate(["", "a b", "a b", "a b c d", "a b c e"])]
+    rng.shuffle(rows)
+
+    def kept(size, least):
+        sets = {k: {tuple(t.split()[i:i + size]) for i in range(max(1, len(t.split()) - size + 1))} if t else set()
+                for k, t in rows}
+        label = {k: k for k in sets}
+        for _ in sets:
+            before = dict(label)
+            for a in sets:
+                for b in sets:
+                    if 100 * len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b]) > 0:
+                        label[a] = label[b] = min(label[a], label[b])
+            if label == before:
+                break
+        return {k for k in sets if label[k] == k}
+
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id for r in corpus_pipeline.ngram_jaccard_join(spark, df, DIR).collect()}
+    assert got == kept(5, 80) < kept(3, 90)
