@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +34,28 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, ARROW_ROWS)
 
 
+@contextmanager
+def bounded_batches(spark: SparkSession, size: int = 16 << 20) -> Iterator[None]:
+    """Jobs of the block send Arrow batches of at most ``ARROW_ROWS`` rows and about ``size`` bytes.
+
+    A text beyond ``size`` is a batch of its own. The caller's settings come back afterwards, so only
+    jobs that run inside the block (a written table) are bounded.
+    """
+    prefix = "spark.sql.execution.arrow."
+    wanted = {prefix + "maxRecordsPerBatch": ARROW_ROWS, prefix + "maxBytesPerBatch": size}
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def lower_ascii(text: Column) -> Column:
     """Lower-case A-Z and nothing else."""
     return F.translate(text, UPPER, LOWER)

@@ -6,12 +6,14 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storyspark.llm import (bpe, chat, decontaminate, gam, licenses, ngram_join, outliers, secrets_crf, token_counts,
-                            url_lists)
-from storyspark.llm.common import documents
+from storyspark.llm import (alignment, bpe, chat, decontaminate, gam, licenses, ngram_join, outliers, runs, secrets_crf,
+                            simhash, token_counts, url_lists)
+from storyspark.llm.common import bounded_batches, documents, words
+from storyspark.session import written
 
 COUNTING = "byte_bpe_50k.json"
 RANKS = "byte_bpe_multi_50k.tiktoken"
+LEFT, RIGHT = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,9 +117,56 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                   256).alias("base_sha256"), listed(F.col("found")).alias("spans"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left, right = public_tokenizers.path(LEFT), public_tokenizers.path(RIGHT)
+    aligned = alignment.aligned_digests(documents(spark, sf_dir), left, right)
+    return alignment.count_links(aligned, alignment.right_ids(right)).drop("_row")
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text``; a tenth of the texts, by a hash of the id, becomes periodic from some word on."""
+    digest = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    seed, w, n = F.floor(digest / 10), F.col("_words"), F.size("_words")
+    rows = docs.select("doc_id", "text", digest.alias("_digest"), seed.alias("_seed"),
+                       F.when(digest % 10 == 0, words(F.col("text"))).alias("_words"))
+    rows = rows.withColumn("_from", F.when(n > 0, F.col("_seed") % n))
+    rows = rows.withColumn("_period", F.lit(1) + F.floor((n - F.col("_from")) / (F.lit(3) + F.col("_seed") % 8)))
+    start, period = F.col("_from"), F.col("_period")
+    looped = F.array_join(F.transform(w, lambda x, i: F.when(i < start, x).otherwise(
+        F.get(w, (start + (i - start) % period).cast("int")))), " ")
+    return rows.select("doc_id", F.when(F.col("_digest").isNotNull() & start.isNotNull(), looped)
+                       .otherwise(F.col("text")).alias("text"))
+
+
+def run_digests(found: DataFrame) -> DataFrame:
+    """Numbers of the most repetitive run of every row of ``find_runs``, and digests of its results."""
+    def exponent(run: Column) -> Column:
+        return run["length"] / run["period"]
+
+    best = F.array_min(F.transform("runs", lambda r: F.struct(
+        (-exponent(r)).alias("order"), r["start"].alias("start"), r["period"].alias("period"), r["length"].alias("length"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with bounded_batches(spark):
+        return written(run_digests(runs.find_runs(with_periods(documents(spark, sf_dir)))), "run-digests")
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(documents(spark, sf_dir))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_decontamination, op2_token_counts, op3_byte_bpe, op4_ngram_join, op5_url_filters, op6_quality_classifier,
-    op7_chat_formatting, op8_quality_rules, op9_license_scans, op10_secret_scans)}
+    op7_chat_formatting, op8_quality_rules, op9_license_scans, op10_secret_scans, op11_token_alignment,
+    op12_periodic_runs, op13_simhash)}
 
 WORDS = r"""list_filter(regexp_split_to_array(
     {text}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"""
