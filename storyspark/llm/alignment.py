@@ -19,6 +19,7 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from itertools import chain
 
@@ -28,13 +29,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from storyspark.llm.common import bounded_batches
+from storyspark.llm.common import PRE_TOKEN, bounded_batches, gather, offsets
 from storyspark.session import written
 
 #: Pairs whose counts are broadcast at most (24 bytes each).
 HEAVY = 1 << 18
 #: Links of a group that are listed one by one; larger groups are counted by distinct ids.
 LISTED = 4_096
+#: Pre-tokens whose ids a worker remembers before it starts afresh.
+REMEMBERED = 400_000
 
 
 class ByteLevel:
@@ -43,6 +46,8 @@ class ByteLevel:
     def __init__(self, data: bytes):
         import os
 
+        import regex
+
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -58,9 +63,22 @@ class ByteLevel:
             if all(c in value for c in token):
                 self.tokens[number] = bytes(value[c] for c in token)
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        found = self.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        return [e.ids for e in found]
+        rules = json.loads(data).get("pre_tokenizer") or {}
+        self.splits = rules.get("use_regex", True) and not rules.get("add_prefix_space", False) and \
+            rules.get("type") == "ByteLevel" and self.tokenizer.normalizer is None
+        self.find = regex.compile(PRE_TOKEN).findall
+        self.known: dict[str, list[int]] = {}
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, and how many each has. A pre-token's ids are asked for once and remembered."""
+        words = [self.find(" " + t) for t in texts] if self.splits else [[" " + t] for t in texts]
+        flat = list(chain.from_iterable(words))
+        if len(self.known) > REMEMBERED or not self.splits:
+            self.known = {}
+        fresh = [w for w in set(flat) if w not in self.known]
+        found = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
+        self.known.update((w, e.ids) for w, e in zip(fresh, found))
+        return _joined([self.known[w] for w in flat], np.fromiter(map(len, words), np.int64, len(words)))
 
 
 class Pieces:
@@ -76,8 +94,14 @@ class Pieces:
             self.tokens.append(bytes([int(piece[3:-1], 16)]) if self.pieces.is_byte(number)
                                else piece.replace("▁", " ").encode())
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.pieces.encode(texts, num_threads=1)
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return _joined(self.pieces.encode(texts, num_threads=1), np.ones(len(texts), np.int64))
+
+
+def _joined(lists: list[list[int]], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of ``lists`` in order, and how many of them every run of ``counts`` lists has."""
+    ends = offsets(np.fromiter(map(len, lists), np.int64, len(lists)))
+    return np.fromiter(chain.from_iterable(lists), np.int64, int(ends[-1])), np.diff(ends[offsets(counts)])
 
 
 def tokenizer(name: str, data: bytes) -> ByteLevel | Pieces:
@@ -93,13 +117,9 @@ def skip_diagonals(a: list[int], b: list[int]) -> list[tuple[int, int, int, int,
     while i < n:
         if a[i] == b[j]:
             same, step = 1, 1
-            while a[i + same:i + same + step] == b[j + same:j + same + step]:
-                if i + same + step >= n:
-                    same, step = n - i, 1
-                    break
-                same += step
-                step *= 2
-            while step > 1:
+            while a[i + same:i + same + step] == b[j + same:j + same + step] and i + same < n:
+                same, step = min(same + step, n - i), 2 * step
+            while step > 1 and i + same < n:
                 step //= 2
                 if a[i + same:i + same + step] == b[j + same:j + same + step]:
                     same += step
@@ -120,53 +140,90 @@ def skip_diagonals(a: list[int], b: list[int]) -> list[tuple[int, int, int, int,
     return out
 
 
-def groups_text(a: list[str], b: list[str], found: list[tuple[int, int, int, int, bool]]) -> str:
-    """``a1,a2|b1;a3|b2,b3``: the groups' tokens in order."""
-    parts = []
-    for i, i2, j, j2, one in found:
-        if one:
-            parts.extend(map("|".join, zip(a[i:i2], b[j:j2])))
-        else:
-            parts.append(",".join(a[i:i2]) + "|" + ",".join(b[j:j2]))
-    return ";".join(parts)
-
-
-def linked_pairs(a: np.ndarray, b: np.ndarray, found: list[tuple[int, int, int, int, bool]],
-                 width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct linked pairs, as ``a * width + b``, and how often each is linked."""
-    left, right, codes, times = [], [], [], []
-    for i, i2, j, j2, one in found:
-        if one:
-            left.append(range(i, i2))
-            right.append(range(j, j2))
-        elif (i2 - i) * (j2 - j) <= LISTED:
-            for k in range(i, i2):
-                left.append((k,) * (j2 - j))
-                right.append(range(j, j2))
-        else:
-            (x, n), (y, m) = np.unique(a[i:i2], return_counts=True), np.unique(b[j:j2], return_counts=True)
-            codes.append((x[:, None] * width + y).ravel())
-            times.append((n[:, None] * m).ravel())
-    single = a[list(chain.from_iterable(left))] * width + b[list(chain.from_iterable(right))]
-    if not codes:
-        return np.unique(single, return_counts=True)
-    distinct, at = np.unique(np.concatenate([single, *codes]), return_inverse=True)
-    total = np.zeros(len(distinct), np.int64)
-    np.add.at(total, at, np.concatenate([np.ones(len(single), np.int64), *times]))
-    return distinct, total
+def group_ends(found: list[tuple[int, int, int, int, bool]]) -> tuple[np.ndarray, np.ndarray]:
+    """Where the groups of the stretches end, in tokens of either side."""
+    i, i2, j, j2, one = np.array(found, np.int64).reshape(-1, 5).T
+    number = np.where(one > 0, i2 - i, 1)
+    back = np.repeat(np.cumsum(number), number) - 1 - np.arange(number.sum())  # groups of the stretch still to come
+    return np.repeat(i2, number) - back, np.repeat(j2, number) - back
+
+
+def linked_pairs(a: np.ndarray, b: np.ndarray, a_ends: np.ndarray, b_ends: np.ndarray, row: np.ndarray,
+                 width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (row, pair) of linked tokens, as rows and ``a * width + b``, and how often each is linked.
+
+    ``row`` is the text that a group belongs to.
+    """
+    n, m = np.diff(a_ends, prepend=0), np.diff(b_ends, prepend=0)
+    small = n * m <= LISTED
+    ids_a = gather(a, (a_ends - n)[small], n[small])
+    left = np.repeat(ids_a, np.repeat(m[small], n[small]))
+    links = (n * m)[small]
+    place = np.arange(links.sum()) - np.repeat(np.cumsum(links) - links, links)
+    right = b[np.repeat((b_ends - m)[small], links) + place % np.repeat(m[small], links)]
+    rows, codes, times = [np.repeat(row[small], links)], [left * width + right], [np.ones(len(left), np.int64)]
+    for k in np.flatnonzero(~small).tolist():
+        x, often = np.unique(a[a_ends[k] - n[k]:a_ends[k]], return_counts=True)
+        y, much = np.unique(b[b_ends[k] - m[k]:b_ends[k]], return_counts=True)
+        codes.append((x[:, None] * width + y).ravel())
+        times.append((often[:, None] * much).ravel())
+        rows.append(np.full(len(codes[-1]), row[k]))
+    row, code, often = (np.concatenate(v) for v in (rows, codes, times))
+    order = np.lexsort((code, row))
+    row, code, often = row[order], code[order], often[order]
+    first = np.ones(len(row), bool)
+    first[1:] = (row[1:] != row[:-1]) | (code[1:] != code[:-1])
+    at = np.flatnonzero(first)
+    return row[at], code[at], np.add.reduceat(often, at) if len(at) else often
 
 
 class _Side:
-    """One tokenizer in a worker: ids, byte ends and names of its tokens."""
+    """One tokenizer in a worker: bytes and names of its tokens."""
 
-    def __init__(self, name: str, data: bytes):
+    def __init__(self, name: str, data: bytes, last: str):
         self.tool = tokenizer(name, data)
         self.sizes = np.array([len(t) for t in self.tool.tokens], np.int64)
-        self.names = [str(k) for k in range(len(self.tool.tokens))]
+        self.starts = offsets(self.sizes)[:-1]
+        self.bytes = np.frombuffer(b"".join(self.tool.tokens), np.uint8)
+        self.number = len(self.tool.tokens)
+        # Names as they stand inside a group, and at the end of this side of it.
+        self.names = [f"{k}," for k in range(self.number)] + [f"{k}{last}" for k in range(self.number)]
+
+    def spelled(self, ids: np.ndarray, counts: np.ndarray, wholes: list[bytes]) -> np.ndarray:
+        """Which texts the bytes of their ids spell."""
+        ends = offsets(self.sizes[ids])[offsets(counts)]
+        data = gather(self.bytes, self.starts[ids], self.sizes[ids]).tobytes()
+        return np.array([data[x:y] == w for x, y, w in zip(ends[:-1].tolist(), ends[1:].tolist(), wholes)], bool)
 
-    def spells(self, ids: list[int], whole: bytes) -> bool:
-        tokens = self.tool.tokens
-        return b"".join([tokens[k] for k in ids]) == whole
+
+def _aligned(one: _Side, two: _Side, texts: list[str]):
+    """Numbers of tokens, groups and links, groups, and linked pairs, of every text of a batch.
+
+    The texts are laid end to end: the last ends of a text are equal on both sides, so no group crosses.
+    """
+    sides = [(side, *side.tool.encode(texts)) for side in (one, two)]
+    wholes = [b" " + t.encode() for t in texts]
+    good = np.array([bool(t) for t in texts], bool)
+    for side, ids, counts in sides:
+        good &= side.spelled(ids, counts, wholes)
+    (a, n_a), (b, n_b) = ((ids[np.repeat(good, counts)], np.where(good, counts, 0)) for _, ids, counts in sides)
+    found = skip_diagonals(np.cumsum(one.sizes[a]).tolist(), np.cumsum(two.sizes[b]).tolist())
+    a_ends, b_ends = group_ends(found)
+    row = np.searchsorted(np.cumsum(n_a), a_ends)
+    groups = np.bincount(row, minlength=len(texts))
+    # The groups' tokens in order: those of a, then those of b.
+    names = np.zeros(len(a) + len(b), np.int64)
+    n, m = np.diff(a_ends, prepend=0), np.diff(b_ends, prepend=0)
+    names[np.arange(len(a)) + np.repeat(b_ends - m, n)] = a
+    names[np.arange(len(b)) + np.repeat(a_ends, m)] = b + 2 * one.number
+    names[a_ends + b_ends - m - 1] += one.number
+    names[a_ends + b_ends - 1] += two.number
+    table, names = one.names + two.names, names.tolist()
+    cuts = offsets(n_a + n_b).tolist()
+    shown = ["".join([table[k] for k in names[x:y]])[:-1] for x, y in zip(cuts[:-1], cuts[1:])]
+    of, pairs, times = linked_pairs(a, b, a_ends, b_ends, row, two.number)
+    links = np.bincount(of, times, len(texts)).astype(np.int64)
+    return n_a, n_b, groups, links, shown, offsets(np.bincount(of, minlength=len(texts))), pairs, times
 
 
 def align(docs: DataFrame, left_path: str, right_path: str, id_col: str = "doc_id",
@@ -180,33 +237,13 @@ def align(docs: DataFrame, left_path: str, right_path: str, id_col: str = "doc_i
     shared = docs.sparkSession.sparkContext.broadcast(files)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one, two = (_Side(*f) for f in shared.value)
-        width = len(two.names)
+        one, two = (_Side(*f, last) for f, last in zip(shared.value, "|;"))
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            numbers, texts_out, pairs, times = [], [], [], []
-            for text, a, b in zip(texts, one.tool.encode(texts), two.tool.encode(texts)):
-                whole = b" " + text.encode()
-                if not text or not one.spells(a, whole) or not two.spells(b, whole):
-                    numbers.append((0, 0, 0, 0))
-                    texts_out.append("")
-                    pairs.append(np.zeros(0, np.int64))
-                    times.append(np.zeros(0, np.int64))
-                    continue
-                x, y = np.array(a, np.int64), np.array(b, np.int64)
-                found = skip_diagonals(np.cumsum(one.sizes[x]).tolist(), np.cumsum(two.sizes[y]).tolist())
-                distinct, often = linked_pairs(x, y, found, width)
-                groups = sum(i2 - i if single else 1 for i, i2, _, _, single in found)
-                numbers.append((len(a), len(b), groups, int(often.sum())))
-                texts_out.append(groups_text([one.names[k] for k in a], [two.names[k] for k in b], found))
-                pairs.append(distinct)
-                times.append(often)
-            bounds = np.cumsum([0, *map(len, pairs)]).astype(np.int32)
-            columns = [pa.array(list(c), pa.int64()) for c in zip(*numbers)] or [pa.array([], pa.int64())] * 4
+            *numbers, shown, bounds, pairs, times = _aligned(one, two, [t or "" for t in batch.column(1).to_pylist()])
+            bounds = pa.array(bounds.astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *columns, pa.array(texts_out, pa.string()),
-                 *(pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(v) if v else np.zeros(0, np.int64)))
-                   for v in (pairs, times))],
+                [batch.column(0), *map(pa.array, numbers), pa.array(shown, pa.string()),
+                 *(pa.ListArray.from_arrays(bounds, pa.array(v)) for v in (pairs, times))],
                 [id_col, "n_a", "n_b", "n_groups", "n_links", "groups", "pairs", "times"])
 
     return docs.select(F.col(id_col), F.col(text_col).alias("text")).mapInArrow(

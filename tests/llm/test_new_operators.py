@@ -129,11 +129,13 @@ def test_skip_diagonals(a, b, last):
 
 
 def test_group_beyond_the_list_is_counted(monkeypatch):
-    a, b, found = np.array([1, 1, 2, 3]), np.array([5, 6, 5]), [(0, 3, 0, 2, False), (3, 4, 2, 3, True)]
-    whole = alignment.linked_pairs(a, b, found, 10)
-    monkeypatch.setattr(alignment, "LISTED", 1)
-    counted = alignment.linked_pairs(a, b, found, 10)
-    assert [x.tolist() for x in whole] == [x.tolist() for x in counted] == [[15, 16, 25, 26, 35], [2, 2, 1, 1, 1]]
+    a, b = np.array([1, 1, 2, 3, 1]), np.array([5, 6, 5, 5])
+    ends = alignment.group_ends([(0, 3, 0, 2, False), (3, 5, 2, 4, True)])
+    assert [x.tolist() for x in ends] == [[3, 4, 5], [2, 3, 4]]
+    want = [[0, 0, 0, 0, 0, 1], [15, 16, 25, 26, 35, 15], [2, 2, 1, 1, 1, 1]]
+    for listed in (1, 100):
+        monkeypatch.setattr(alignment, "LISTED", listed)
+        assert [x.tolist() for x in alignment.linked_pairs(a, b, *ends, np.array([0, 0, 1]), 10)] == want
 
 
 # Operator 12
