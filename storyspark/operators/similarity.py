@@ -1,16 +1,22 @@
-"""Title similarity and greedy clustering (J1, A1) and the leader rounds they share.
+"""Title similarity and greedy clustering (J1, A1), and leaders of an edge table.
 
-Rows with the same token set behave alike, so they are folded into one row first.  Similar pairs
-come from a prefix-filtered token join with an exact check; earlier chunks take their similar rows
-out before later rows are compared with each other, so families of near copies are matched
-against their leader only and never with each other.
+Rows with the same token set behave alike, so they are folded into one row first.  Each date is then
+settled in blocks of its first rows: one task reads a block in order and compares a row with the
+leaders before it only, through an inverted index, so a block needs no pairs and ends in one pass
+however long its chains are.  The block's leaders then take their similar later rows out by a
+prefix-filtered token join, before the next block is cut from what is left.
 """
 
 from __future__ import annotations
 
 import json
+from array import array
+from collections import defaultdict
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import vocab as V
@@ -19,8 +25,8 @@ from ..session import written
 
 DATE = "edition_date"
 HOT_SHARE = 64                 # a token in more than 1/64 of the rows is ordered last
-PAIRS_PER_ROW = 200            # candidate pairs per row allowed before a chunk is halved
-PAIRS_FLOOR = 2_000_000
+BLOCK_ROWS = 20_000            # distinct token sets of a date that one task settles
+EDGES = 200_000                # edges of a group (about) that one task settles
 RANGE_ROWS = 10_000
 
 
@@ -69,24 +75,83 @@ def _pairs(left: DataFrame, right: DataFrame) -> DataFrame:
                     (na + nb - inter).alias("total")))
 
 
+def _settle_edges(keys: list[str]):
+    """Decide the nodes of a range from its incoming edges, as far as its own nodes allow.
+
+    Rows come sorted by group, range, ``dst`` and ``src``.  A ``src`` that is in no edge as ``dst``
+    (``head``) is a leader, one of the same range is known from before, any other is open.  A node
+    next to a leader is covered; one whose earlier neighbours are all covered is a leader.
+    """
+    names = [*keys, "_bin"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict = {}
+        group = node = None
+        leads = open_ = False
+
+        def decided():
+            """The status of ``node``, remembered; None where it stays open."""
+            known[node] = False if leads else None if open_ else True
+            return known[node]
+
+        for batch in batches:
+            out: list[tuple] = []
+            columns = [batch.column(k).to_pylist() for k in [*names, "dst", "src", "head"]]
+            for *place, dst, src, head in zip(*columns):
+                if dst != node or place != group:
+                    if node is not None and decided() is not None:
+                        out.append((*group[:-1], node, known[node]))
+                    if place != group:
+                        known = {}
+                    group, node, leads, open_ = place, dst, False, False
+                status = True if head else known.get(src)
+                leads |= status is True
+                open_ |= status is None
+            yield _rows(out, batch, keys)
+        if node is not None and decided() is not None:
+            yield _rows([(*group[:-1], node, known[node])], batch, keys)
+
+    return run
+
+
+def _rows(out: list[tuple], like: pa.RecordBatch, keys: list[str]) -> pa.RecordBatch:
+    kinds = [*(like.schema.field(k).type for k in keys), pa.int64(), pa.bool_()]
+    columns = list(zip(*out)) or [()] * len(kinds)
+    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds)],
+                                      [*keys, "node", "leader"])
+
+
 def leader_rounds(edges: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """Lexicographically first maximal independent set of an edge table (src before dst).
 
     Returns (covered, edges): the nodes that are not leaders, and the given edges written out.
-    Nodes without edges never enter the loop.  Each round makes every node without an undecided
-    earlier neighbour a leader and takes that leader's later neighbours out.
+    Nodes without edges never enter.  Each group is cut into ranges of ``dst`` with about ``EDGES``
+    edges; a task settles a range in order, at any depth, and only nodes that wait for another
+    range go on to the next round, where the ranges are wider.
     """
     edges = written(edges, "edges")
-    live, covered = edges, None
-    # The earliest node of every component is settled in each round, so this ends at any depth.
+    live, covered = edges.select(*keys, F.col("src").cast("long"), F.col("dst").cast("long")), None
+    kinds = ", ".join(f"`{k}` {edges.schema[k].dataType.simpleString()}" for k in keys)
+    # The earliest open node of every group is settled in each round, so this ends.
     while not live.isEmpty():
-        blocked = live.select(*keys, F.col("dst").alias("src")).distinct()
-        heads = live.join(blocked, [*keys, "src"], "left_anti")
-        out = written(heads.select(*keys, F.col("dst").alias("node")).distinct(), "covered")
+        span = live.groupBy(*keys).agg(F.min("dst").alias("_lo"), F.max("dst").alias("_hi"),
+                                       F.ceil(F.count("*") / EDGES).alias("_n"))
+        width = F.ceil((F.col("_hi") - F.col("_lo") + 1) / F.col("_n"))
+        entered = live.select(*keys, F.col("dst").alias("src"), F.lit(False).alias("head")).distinct()
+        cut = (live.join(entered, [*keys, "src"], "left").join(span, keys)
+               .select(*keys, F.floor((F.col("dst") - F.col("_lo")) / width).alias("_bin"), "dst", "src",
+                       F.coalesce("head", F.lit(True)).alias("head")))
+        order = [*keys, "_bin", "dst", "src"]
+        found = written(cut.repartition(*keys, "_bin").sortWithinPartitions(*order).mapInArrow(
+            _settle_edges(keys), f"{kinds}, node long, leader boolean"), "settled")
+        # Leaders cover neighbours in other ranges as well; heads cover theirs inside the task.
+        named = found.where("leader").select(*keys, F.col("node").alias("src"))
+        reached = live.join(named, [*keys, "src"], "left_semi").select(*keys, F.col("dst").alias("node"))
+        out = written(found.where("NOT leader").select(*keys, "node").union(reached).distinct(), "covered")
         covered = out if covered is None else covered.unionByName(out)
-        live = written(
-            live.join(out.withColumnRenamed("node", "dst"), [*keys, "dst"], "left_anti")
-                .join(out.withColumnRenamed("node", "src"), [*keys, "src"], "left_anti"), "live")
+        over = out.unionByName(found.where("leader").select(*keys, "node"))
+        live = written(live.join(over.withColumnRenamed("node", "dst"), [*keys, "dst"], "left_anti")
+                       .join(out.withColumnRenamed("node", "src"), [*keys, "src"], "left_anti"), "live")
     if covered is None:
         covered = edges.select(*keys, F.col("dst").alias("node")).limit(0)
     return covered, edges
@@ -99,51 +164,76 @@ def _matches(edges: DataFrame) -> DataFrame:
         DATE, F.col("dst").alias("seq"), F.col("src").alias("leader"), "shared", "total")
 
 
-def _estimate(sets: DataFrame) -> int:
-    """Upper bound of the candidate pairs of a chunk, from token counts alone."""
-    counts = (sets.select(DATE, F.explode("prefix").alias("t")).groupBy(DATE, "t")
-              .agg(F.count("*").alias("n")))
-    got = counts.agg(F.sum(F.col("n").cast("decimal(38,0)") * (F.col("n") - 1) / 2)).first()[0]
-    return int(got or 0)
+class _Leaders:
+    """Leaders of a date so far, by token."""
+
+    def __init__(self):
+        self.found: list[int] = []
+        self.sizes = array("q")
+        self.of: dict = defaultdict(lambda: array("q"))
+
+    def place(self, seq: int, tokens: list[str]) -> tuple[int, int, int]:
+        """(leader, shared tokens, tokens of both) of a row; it leads itself where no leader is similar."""
+        held = [np.frombuffer(self.of[t], np.int64) for t in tokens if t in self.of]
+        if held:
+            at, shared = np.unique(np.concatenate(held), return_counts=True)
+            total = len(tokens) + np.frombuffer(self.sizes, np.int64)[at] - shared
+            like = np.flatnonzero(V.JACCARD_DEN * shared >= V.JACCARD_NUM * total)
+            if len(like):
+                first = like[0]
+                return self.found[at[first]], int(shared[first]), int(total[first])
+        del held
+        for t in tokens:
+            self.of[t].append(len(self.found))
+        self.found.append(seq)
+        self.sizes.append(len(tokens))
+        return seq, len(tokens), len(tokens)
+
+
+def _settle_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The leader of every row of the dates' blocks; rows come sorted by date and ``seq``."""
+    date, leaders = None, _Leaders()
+    for batch in batches:
+        out = []
+        for day, seq, tokens in zip(*(batch.column(k).to_pylist() for k in (DATE, "seq", "tokens"))):
+            if day != date:
+                date, leaders = day, _Leaders()
+            out.append(leaders.place(seq, tokens))
+        columns = list(zip(*out)) or [()] * 3
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(DATE), batch.column("seq"), *(pa.array(list(c), t) for c, t in zip(
+                columns, (pa.int64(), pa.int32(), pa.int32())))], [DATE, "seq", "leader", "shared", "total"])
 
 
 def _leader_sets(sets: DataFrame) -> DataFrame:
-    """(date, seq, leader, shared, total) for every set that joins an earlier leader."""
-    rest = written(_with_prefix(sets, _hot_tokens(sets)), "sets")
-    matched = None
-    while True:
-        n = rest.count()
-        if n == 0:
-            break
-        budget = max(PAIRS_FLOOR, PAIRS_PER_ROW * n)
-        chunk, split = rest, False
-        while _estimate(chunk) > budget and chunk.count() > 1:
-            # Too many candidates at once: take the earlier half of each date first.
-            mid = chunk.groupBy(DATE).agg(
-                F.percentile_approx("seq", 0.5, 1000).alias("_m"), F.max("seq").alias("_x"))
-            half = chunk.join(mid, DATE).filter(
-                F.col("seq") <= F.when(F.col("_m") < F.col("_x"), F.col("_m")).otherwise(
-                    F.col("_x") - 1)).drop("_m", "_x")
-            half = written(half, "chunk")
-            if half.isEmpty():
-                break
-            chunk, split = half, True
-        covered, edges = leader_rounds(_pairs(chunk, chunk), [DATE])
-        inner = _matches(edges.join(covered.withColumnRenamed("node", "src"), [DATE, "src"],
-                                    "left_anti"))
-        found = written(inner, "matched")
-        matched = found if matched is None else matched.unionByName(found)
-        if not split:
-            break
-        leaders = chunk.join(covered.withColumnRenamed("node", "seq"), [DATE, "seq"], "left_anti")
-        later = rest.join(chunk.select(DATE, "seq"), [DATE, "seq"], "left_anti")
-        taken = written(_matches(_pairs(leaders, later)), "matched")
-        matched = matched.unionByName(taken)
-        rest = written(later.join(taken.select(DATE, "seq"), [DATE, "seq"], "left_anti"), "sets")
-    if matched is None:
-        return sets.select(DATE, "seq", F.col("seq").alias("leader"), F.lit(0).alias("shared"),
-                           F.lit(0).alias("total")).limit(0)
-    return matched
+    """(date, seq, leader, shared, total) for every set; a leader is its own.
+
+    Rows are numbered once and keep the number of their block.  A round takes as many blocks of a
+    date as hold ``BLOCK_ROWS`` rows that are left, so rounds follow the rows that no earlier leader
+    takes out, not the length of chains.
+    """
+    numbered = number_rows(sets.withColumn("seq", F.col("seq").cast("long")), [DATE], "seq", "_number")
+    rest = written(_with_prefix(numbered, _hot_tokens(sets))
+                   .withColumn("_block", F.expr(f"_number div {BLOCK_ROWS}")).drop("_number"), "sets")
+    kind, placed = sets.schema[DATE].dataType.simpleString(), None
+    while placed is None or not rest.isEmpty():
+        by_block = Window.partitionBy(DATE).orderBy("_block").rowsBetween(Window.unboundedPreceding, 0)
+        taken = (rest.groupBy(DATE, "_block").agg(F.count("*").alias("_rows"))
+                 .withColumn("_sum", F.sum("_rows").over(by_block))
+                 .where((F.col("_sum") <= BLOCK_ROWS) | (F.col("_sum") == F.col("_rows")))
+                 .groupBy(DATE).agg(F.max("_block").alias("_last")))
+        cut = rest.join(taken, DATE)
+        block = cut.where("_block <= _last").drop("_last")
+        found = written(block.select(DATE, "seq", "tokens").repartition(DATE).sortWithinPartitions(DATE, "seq")
+                        .mapInArrow(_settle_blocks, f"{DATE} {kind}, seq long, leader long, shared int, total int"),
+                        "settled")
+        placed = found if placed is None else placed.unionByName(found)
+        later = cut.where("_block > _last").drop("_last")
+        leaders = block.join(found.where("seq = leader").select(DATE, "seq"), [DATE, "seq"], "left_semi")
+        matched = written(_matches(_pairs(leaders, later)), "matched")
+        placed = placed.unionByName(matched)
+        rest = written(later.join(matched.select(DATE, "seq"), [DATE, "seq"], "left_anti"), "sets")
+    return placed
 
 
 def title_leaders(df: DataFrame, title: str = "title") -> DataFrame:
@@ -156,10 +246,7 @@ def title_leaders(df: DataFrame, title: str = "title") -> DataFrame:
     some = tokens.filter(F.size("tokens") > 0)
     sets = written(some.groupBy(DATE, "tokens").agg(F.min("seq").alias("seq")), "distinct")
     members = _leader_sets(sets)
-    placed = sets.join(members, [DATE, "seq"], "left").select(
-        DATE, "tokens", F.coalesce("leader", "seq").alias("leader"), F.col("seq").alias("_rep"),
-        F.coalesce("shared", F.size("tokens")).alias("shared"),
-        F.coalesce("total", F.size("tokens")).alias("total"))
+    placed = sets.join(members, [DATE, "seq"]).select(DATE, "tokens", "leader", "shared", "total")
     # Rows with equal token sets share their representative's seed; empty sets match nothing.
     rows = some.join(placed, [DATE, "tokens"]).select(DATE, "seq", "leader", "shared", "total")
     empty = tokens.filter(F.size("tokens") == 0).select(
@@ -195,8 +282,6 @@ def number_rows(df: DataFrame, keys: list[str], order: str, out: str) -> DataFra
     Rows are cut into order ranges of about ten thousand rows, as wide as each key's values need; a
     row's number is the size of the key's earlier ranges plus its place inside its own range.
     """
-    from pyspark.sql import Window
-
     span = df.groupBy(*keys).agg(F.min(order).alias("_lo"), F.max(order).alias("_hi"),
                                  F.count("*").alias("_c"))
     width = F.ceil((F.col("_hi") - F.col("_lo") + 1) / F.ceil(F.col("_c") / RANGE_ROWS))
