@@ -3,8 +3,9 @@
 A document is its set of distinct word shingles, held as 64-bit hashes. Copies of one set are folded
 to a class first. Classes meet on prefix n-grams, rarest first: rarity comes from a count of all
 shingles in a fixed number of buckets, so the order is one for all documents and its table has a
-proven size, and n-grams of hot passages always come last. Length and positional filters, and a
-suffix filter on counts by hash range, prune the candidates; a pair is looked at only in the cell of
+proven size, and n-grams of hot passages always come last. Of n-grams that the very same classes hold in
+their prefixes only the first one is kept, as no pair can meet first on another. Length and positional
+filters, and a suffix filter on counts by hash range, prune the candidates; a pair is looked at only in the cell of
 its first common prefix n-gram, and verified there once on the whole sets. Cells of frequent n-grams
 are cut into pairs of blocks, so no task holds a group; a cell returns sums and one spanning edge per
 member, never its pairs.
@@ -24,7 +25,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from storyspark.llm.common import can_broadcast, offsets, runs, small_batches
 from storyspark.llm.components import components
@@ -214,16 +214,15 @@ def _changes(table: pa.Table) -> np.ndarray:
     return first
 
 
-def _first_meetings(cell: np.ndarray, tokens: list[list[int]], places: list[int], left: np.ndarray,
-                    right: np.ndarray) -> np.ndarray:
-    """Which pairs of rows share none of the tokens that come before the cell's token."""
+def _first_meetings(cell: np.ndarray, earlier: list[list[int]], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Which pairs of rows share none of the tokens that come before the cell's token in their prefixes."""
     keep = np.ones(len(left), bool)
     bounds = np.searchsorted(cell[left], np.arange(cell[-1] + 2))
     for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
         if a == b:
             continue
         rows = np.unique(np.concatenate([left[a:b], right[a:b]]))
-        before = [tokens[r][:places[r]] for r in rows.tolist()]
+        before = [earlier[r] for r in rows.tolist()]
         if not any(before):
             continue
         i, j = np.searchsorted(rows, left[a:b]), np.searchsorted(rows, right[a:b])
@@ -271,11 +270,10 @@ def _candidates(percent: int):
                 if not len(left):
                     continue
                 used = np.unique(np.concatenate([left, right]))
-                lists = table.column("tokens").take(pa.array(used)).to_pylist()
-                names = table.column("token").to_numpy()[used].tolist()
+                lists = table.column("before").take(pa.array(used)).to_pylist()
                 i, j = np.searchsorted(used, left), np.searchsorted(used, right)
                 local = np.unique(cell[used], return_inverse=True)[1]
-                keep = _first_meetings(local, lists, [t.index(k) for t, k in zip(lists, names)], i, j)
+                keep = _first_meetings(local, lists, i, j)
                 found.append((left[keep], right[keep]))
             # A span may end inside a cell: a member's row is made of the pairs of all spans.
             left, right = (np.concatenate(side) for side in zip(*found))
@@ -363,24 +361,31 @@ def jaccard_join(docs: DataFrame, size: int = 3, percent: int = 90, id_col: str
     classes = written(found.where("n > 0").groupBy("m1", "m2", "n")
                       .agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
                       .withColumn("cls", F.monotonically_increasing_id()), "classes")
-    prefixes = (_prefixes(docs, size, percent, table, id_col, text_col)
-                .join(classes, ["m1", "m2"]).where("id <=> rep")
-                .select("cls", "n", "ranges", F.posexplode("tokens").alias("at", "token")))
-    by_token = Window.partitionBy("token")
-    shared = written(prefixes.withColumn("low", F.min("cls").over(by_token))
-                     .withColumn("high", F.max("cls").over(by_token)).where("low < high")
-                     .select("token", "cls", "n", "at", "ranges"), "shared")
-    # Every member carries its shared prefix (bounded by its own prefix), to know first meetings.
-    members = (shared.groupBy("cls", "n").agg(
-        F.array_sort(F.collect_set(F.struct("at", "token"))).alias("found"), F.first("ranges").alias("ranges")))
-    members = written(members.select(
-        "cls", "n", "ranges", F.col("found.token").alias("tokens"), "found"), "members")
-    sizes = written(shared.groupBy("token").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")), "cells")
-    cells = (members.select("cls", "n", "ranges", "tokens", F.inline("found")).join(sizes, "token")
+    prefixes = written(_prefixes(docs, size, percent, table, id_col, text_col)
+                       .join(classes, ["m1", "m2"]).where("id <=> rep")
+                       .select("cls", "n", "ranges", "tokens"), "prefixes")
+    places = prefixes.select("cls", F.posexplode("tokens").alias("at", "token"))
+    held = F.xxhash64("cls")
+    # Number, ends and two sums name the classes of a token; a repeated row counts in all of its tokens.
+    owners = [F.count("*").alias("rows"), F.min("cls").alias("low"), F.max("cls").alias("high"),
+              F.sum(held.bitwiseAND(F.lit(0xFFFFFFFF))).alias("one"), F.sum(F.shiftrightunsigned(held, 32)).alias("two")]
+    shared = written(places.groupBy("token").agg(*owners, F.min("at").alias("at")).where("low < high"), "shared")
+    # The order of tokens is one for all, so of the same owners' tokens the least place is the first everywhere.
+    kept = written(shared.groupBy("rows", "low", "high", "one", "two").agg(F.min_by("token", "at").alias("token"))
+                   .select("token", F.ceil(F.col("rows") / block).cast("int").alias("blocks")), "kept")
+    if can_broadcast(kept.count(), 24):
+        kept = F.broadcast(kept)
+    members = (places.join(kept, "token").groupBy("cls")
+               .agg(F.array_sort(F.collect_set(F.struct("at", "token", "blocks"))).alias("found"))
+               .join(prefixes.select("cls", "n", "ranges").dropDuplicates(["cls"]), "cls"))
+    # A row carries the kept part of its own prefix before the token, to know first meetings.
+    members = written(members.select("cls", "n", "ranges", "found", F.col("found.token").alias("tokens")), "members")
+    cells = (members.select("cls", "n", "ranges", "tokens", F.posexplode("found").alias("place", "own"))
+             .select("cls", "n", "ranges", "own.*", F.slice("tokens", F.lit(1), F.col("place")).alias("before"))
              .withColumn("block", F.pmod(F.xxhash64("cls"), "blocks").cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("token", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
-                     "block", "cls", "n", "at", "ranges", "tokens"))
+                     "block", "cls", "n", "at", "ranges", "before"))
     key = ["token", "x", "y"]
     candidates = written(
         cells.repartition(*key).sortWithinPartitions(*key).mapInArrow(

@@ -176,11 +176,11 @@ def test_ngram_join_with_cells_cut_between_spans(monkeypatch, blocks):
     token = int(base[:1].view(np.int64)[0])
     cells = [dict(token=token, x=min(k % blocks, o), y=max(k % blocks, o), block=k % blocks, cls=k, n=len(s), at=0,
                   ranges=np.bincount((s >> np.uint64(60)).astype(int), minlength=ngram_join.RANGES).tolist(),
-                  tokens=[token]) for k, s in enumerate(sets) for o in range(blocks)]
+                  before=[]) for k, s in enumerate(sets) for o in range(blocks)]
     cells = sorted((cells[i] for i in rng.permutation(len(cells))), key=lambda r: (r["x"], r["y"]))
     schema = pa.schema([("token", pa.int64()), ("x", pa.int32()), ("y", pa.int32()), ("block", pa.int32()),
                         ("cls", pa.int64()), ("n", pa.int64()), ("at", pa.int32()), ("ranges", pa.list_(pa.int32())),
-                        ("tokens", pa.list_(pa.int64()))])
+                        ("before", pa.list_(pa.int64()))])
     batches = pa.Table.from_pylist(cells, schema).to_batches(max_chunksize=100)
     found = pa.Table.from_batches(list(ngram_join._candidates(90)(iter(batches))))
     members = [k for k in found.column("cls").to_pylist()]
