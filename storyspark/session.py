@@ -20,6 +20,10 @@ DEFAULTS = {
 STATIC = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 
+#: Removes the shuffle files of a job when it has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the settings results depend on (UTC) and the adaptive ones plans rely on."""
     for key, value in DEFAULTS.items():
@@ -44,11 +48,17 @@ def written(df: DataFrame, label: str = "step") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     The result has no lineage, survives lost executors, and carries its true size, so the planner
-    broadcasts it only when it really is small.
+    broadcasts it only when it really is small.  Shuffle files of the write serve nothing afterwards and
+    are removed when it ends, so a chain of steps holds the shuffles of one step on disk.
     """
     spark = df.sparkSession
     path = f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    kept = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, kept)
     return spark.read.schema(df.schema).parquet(path)
 
 
