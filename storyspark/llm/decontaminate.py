@@ -8,14 +8,20 @@ along with its positions. The narrow (chunk, position, hash) rows meet the seeds
 while they are counted small and joined by shuffle beyond that; then only chunks with a hit are read
 again and verified.
 
+Items of at most ``SHORT`` words have lighter masks, which find every window the verification accepts; the
+masks of longer items find all but a few of the placements of substitutions (``tests/llm``), 0.99 or more
+at every length and count.
+
 Defined cases: words are runs of letters and digits of the lower-cased text; null or empty texts have
-none; an item with fewer words than the shortest mask counts by the run of all its words, one without
-words never matches; ties go to the first place in the document; rows that repeat an id are one
+none; an item of fewer than five words counts by the run of all its words, one without words never
+matches; ties go to the first place in the document; rows that repeat an id are one
 document; a null id is reported as null; other columns of the inputs are ignored.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +29,8 @@ from storyspark.llm.common import can_broadcast
 from storyspark.session import written
 
 MASKS = ("11101011", "110010111", "1011001101")
+#: Masks of items of 6 to ``SHORT`` words, and of 5.
+LIGHT, LIGHTEST, SHORT = ("1111", "11011", "110101"), ("111", "1101", "1011"), 16
 #: Words compared around a seed, and the percentage of them that must agree.
 WINDOW, SHARE = 20, 80
 #: Positions of a chunk of a document, and words it sees on both sides (no window or mask reaches further).
@@ -35,19 +43,25 @@ def tokens(text: Column) -> Column:
     return F.transform(F.filter(found, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def _seeds(masks: list[str], at: Column) -> Column:
-    """One hash per mask at position ``at`` of ``h``; null where the mask runs over the end."""
-    n = F.size("h")
-    return F.array(*[F.when(at + len(m) <= n, F.xxhash64(F.lit(m), *[
-        F.get("h", at + k) for k, c in enumerate(m) if c == "1"])) for m in masks])
+def masks_of(n: int) -> tuple[str, ...]:
+    """Masks of an item of ``n`` words."""
+    return MASKS if n > SHORT else LIGHT if n > 5 else LIGHTEST if n == 5 else ("1" * n,)
 
 
 def _positions(rows: DataFrame, masks: list[str], *carried: str) -> DataFrame:
-    """``carried``, ``at`` and ``seed`` of every position that a row of words owns; the words stay behind."""
-    owned = F.sequence(F.col("low"), F.col("high"))
-    each = rows.where("low <= high").select(*carried, F.explode(F.transform(
-        owned, lambda at: F.struct(at.alias("at"), _seeds(masks, at).alias("seeds")))).alias("p"))
-    return each.select(*carried, F.col("p.at").alias("at"), F.explode("p.seeds").alias("seed")).where("seed IS NOT NULL")
+    """``carried``, ``at`` and ``seed`` of every position that a row of words owns, one per mask that fits.
+
+    The words of a position lie side by side in shifted slices, so hashes are plain functions of
+    columns and no row carries its words on.
+    """
+    width = F.col("high") - F.col("low") + 1
+    used = sorted({k for m in masks for k, c in enumerate(m) if c == "1"})
+    beside = F.arrays_zip(F.sequence("low", "high").alias("at"), *[
+        F.slice("h", F.col("low") + 1 + k, width).alias(f"w{k}") for k in used])
+    seeds = F.array(*[F.when(F.col(f"w{len(m) - 1}").isNotNull(), F.xxhash64(F.lit(int(m, 2)), *[
+        F.col(f"w{k}") for k, c in enumerate(m) if c == "1"])) for m in masks])
+    return (rows.where("low <= high").select(*carried, F.inline(beside))
+            .select(*carried, "at", F.explode(seeds).alias("seed")).where("seed IS NOT NULL"))
 
 
 def _whole(items: DataFrame) -> DataFrame:
@@ -91,14 +105,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     item, with the best window (most equal words, then the first in the document)."""
     items = written(benchmark.select(F.col(item_col).alias("item_id"), tokens(F.col(item_text_col)).alias("item"))
                     .distinct(), "items")
-    shortest = min(map(len, MASKS))
-    short = [r.n for r in items.select(F.size("item").alias("n")).where(f"n BETWEEN 1 AND {shortest - 1}")
-             .distinct().collect()]  # fewer values than the shortest mask has positions
-    masks = [*MASKS, *("1" * n for n in sorted(short))]
-    own = _whole(items)
-    seeds = _positions(own, list(MASKS), "item_id").select("seed", "item_id", F.col("at").alias("item_at"))
-    for n in short:
-        seeds = seeds.union(_positions(own.where(F.size("h") == n), ["1" * n], "item_id").select("seed", "item_id", "at"))
+    # Masks by length: at most SHORT lengths, and one for all that are longer.
+    sizes = items.where(F.size("item") > 0).select(F.least(F.size("item"), F.lit(SHORT + 1)).alias("n"))
+    used: dict[tuple[str, ...], list[int]] = {}
+    for n in sorted(r.n for r in sizes.distinct().collect()):
+        used.setdefault(masks_of(n), []).append(n)
+    if not used:
+        used = {MASKS: [SHORT + 1]}
+    own = _whole(items).withColumn("_n", F.least(F.size("h"), F.lit(SHORT + 1)))
+    seeds = reduce(DataFrame.union, [_positions(own.where(F.col("_n").isin(lengths)), list(masks), "item_id").select(
+        "seed", "item_id", F.col("at").alias("item_at")) for masks, lengths in used.items()])
+    masks = [m for group in used for m in group]
     seeds = written(seeds, "seeds")
     chunks = _chunks(docs.select(F.col(id_col).alias("doc_id"), tokens(F.col(text_col)).alias("h")))
     table = F.broadcast(seeds) if can_broadcast(seeds.count(), 64) else seeds

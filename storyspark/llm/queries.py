@@ -231,8 +231,13 @@ b AS (SELECT item_id, {_TOKENS} AS w FROM benchmark),
 hits AS (SELECT x.doc_id, y.item_id, d.w AS w, b.w AS v, x.p - y.p AS shift, least(len(b.w), 20) AS n,
   greatest(0, least(y.p - 1 - CAST(floor((least(len(b.w), 20) - 8) / 2.0) AS BIGINT),
                     len(b.w) - least(len(b.w), 20))) AS s
-  FROM {_seed_rows("d", "doc_id")} x JOIN {_seed_rows("b", "item_id")} y USING (seed)
-  JOIN d ON d.doc_id = x.doc_id JOIN b ON b.item_id = y.item_id),
+  FROM {_seed_rows("d", "doc_id")} x JOIN {_seed_rows("(SELECT * FROM b WHERE len(w) > 16)", "item_id")} y USING (seed)
+  JOIN d ON d.doc_id = x.doc_id JOIN b ON b.item_id = y.item_id
+  UNION ALL SELECT z.doc_id, z.item_id, d.w, b.w, shift, len(b.w), 0
+  FROM (SELECT DISTINCT x.doc_id, y.item_id, x.p - y.p AS shift
+    FROM (SELECT doc_id, unnest(w) AS t, unnest(range(1, len(w) + 1)) AS p FROM d) x
+    JOIN (SELECT item_id, unnest(w) AS t, unnest(range(1, len(w) + 1)) AS p FROM b WHERE len(w) <= 16) y USING (t)) z
+  JOIN d ON d.doc_id = z.doc_id JOIN b ON b.item_id = z.item_id),
 checked AS (SELECT doc_id, item_id, n, s + shift AS first_word, len(list_filter(range(s + 1, s + n + 1),
   lambda k: k + shift >= 1 AND w[k + shift] = v[k])) AS n_equal FROM hits)
 SELECT doc_id, item_id, arg_min(first_word, -n_equal * 1000000000 + first_word) AS first_word,

@@ -4,6 +4,7 @@ import hashlib
 import random
 import zlib
 from fractions import Fraction
+from itertools import combinations
 
 import numpy as np
 import public_tokenizers
@@ -14,7 +15,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from storyspark.llm import alignment, queries, runs, simhash
+from storyspark.llm import alignment, decontaminate, queries, runs, simhash
 
 DIR = "/root/testdata/sf0.001"
 LEFT, RIGHT = public_tokenizers.path(queries.LEFT), public_tokenizers.path(queries.RIGHT)
@@ -314,3 +315,49 @@ def test_some_chain_is_viable(value, flipped, segments):
     assert len(ring.viable(np.arange(segments), a, b))
     far = other ^ sum(1 << k for k in range(64) if k not in flipped and k % 2)
     assert not len(ring.viable(np.arange(segments), a, np.full(segments, far, np.uint64)))
+
+
+# Operator 1: what its masks find
+
+def found_share(n, changed):
+    """Share of the placements of ``changed`` substitutions in ``n`` words after which some mask still fits."""
+    hit = total = 0
+    for places in combinations(range(n), changed):
+        bad, total = set(places), total + 1
+        hit += any(all(p + k not in bad for k, c in enumerate(m) if c == "1")
+                   for m in decontaminate.masks_of(n) for p in range(n - len(m) + 1))
+    return hit / total
+
+
+@pytest.mark.parametrize("n", range(1, 24))
+def test_masks_find_what_the_rule_accepts(n):
+    """All windows an item of up to 16 words can match by; of longer items' windows nearly all."""
+    for changed in range(n):
+        if 100 * (n - changed) >= decontaminate.SHARE * n and n - changed and n <= decontaminate.WINDOW + 3:
+            assert found_share(n, changed) == 1 if n <= decontaminate.SHORT else found_share(n, changed) > 0.98
+
+
+def test_short_items_are_found_with_substitutions(spark):
+    rng = random.Random(5)
+    items, docs, want = [], [], set()
+    for n in range(1, 17):
+        item = [f"i{n}x{k}" for k in range(n)]
+        items.append((n, " ".join(item)))
+        for k in range(12):
+            changed = rng.randrange(n // 2 + 1)
+            own = list(item)
+            for p in rng.sample(range(n), changed):
+                own[p] = f"other{rng.randrange(10**9)}"
+            words = [f"a{rng.randrange(10**9)}" for _ in range(rng.randrange(300))]
+            docs.append((100 * n + k, " ".join(words + own + words[:5])))
+            if 100 * (n - changed) >= 80 * n and n - changed:
+                want.add((100 * n + k, n, len(words), n - changed))
+    got = decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"),
+                              spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id, r.first_word, r.n_equal) for r in got} == want
+
+
+def test_only_empty_items(spark):
+    docs = spark.createDataFrame([(1, "some words here")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, ""), (2, None)], "item_id long, text string")
+    assert decontaminate.leaks(docs, items).count() == 0
