@@ -15,6 +15,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from storyspark.llm import alignment, decontaminate, queries, runs, simhash
 
 DIR = "/root/testdata/sf0.001"
@@ -317,6 +318,33 @@ def test_some_chain_is_viable(value, flipped, segments):
     assert not len(ring.viable(np.arange(segments), a, np.full(segments, far, np.uint64)))
 
 
+# The pipeline decides by row
+
+def test_stages_decide_by_row(spark):
+    """Rows without id and repeated rows are judged by their own text."""
+    docs = spark.read.parquet(f"{DIR}/documents.parquet")
+    good = corpus_pipeline.quality_rules(spark, docs, DIR).orderBy("doc_id").limit(3).collect()
+    text = " ".join(f"plain{k}" for k in range(120))
+    item = spark.read.parquet(f"{DIR}/benchmark.parquet").orderBy("item_id").first().text
+    extra = [(None, text, "en", "web", 1), (900_001, text, "en", "web", 1), (900_001, text, "en", "web", 1),
+             (None, "a b c", "en", "web", 1), (None, f"{text} {item}", "en", "web", 1), (None, good[0].text, "en", "web", 1),
+             (None, "only here " + " ".join(f"x{k}" for k in range(90)), "en", "web", 1), (900_002, "", "en", "web", 0)]
+    extra = spark.createDataFrame(extra, docs.schema)
+    both = docs.unionByName(extra)
+
+    def kept(df):
+        return sorted((str(r.doc_id), r.text[:30]) for r in df.collect() if r.doc_id is None or r.doc_id > 900_000)
+
+    judged = kept(corpus_pipeline.quality_rules(spark, both, DIR))
+    assert ("None", "a b c") not in judged and ("900002", "") not in judged
+    joined = kept(corpus_pipeline.ngram_jaccard_join(spark, both, DIR))
+    assert joined.count(("900001", text[:30])) == 1
+    # The copies without id are gone; the leaking text differs from the others by enough to stay.
+    assert ("None", good[0].text[:30]) not in joined and ("None", "only here " + " ".join(f"x{k}" for k in range(90))[:20]) in joined
+    left = kept(corpus_pipeline.benchmark_decontamination(spark, extra, DIR))
+    assert left.count(("None", text[:30])) == 1 and left.count(("900001", text[:30])) == 2
+
+
 # Operator 1: what its masks find
 
 def found_share(n, changed):
