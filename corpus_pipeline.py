@@ -2,9 +2,9 @@
 
 Quality rules drop what they reject, the n-gram Jaccard join keeps the smallest id of every group,
 decontamination drops documents that hold a benchmark passage, secret scans replace secrets in the
-texts, and the last stage encodes and decodes the texts that are left. Rows without an id are judged
-like others where a stage works on rows, and kept by stages that decide by id. An empty table gives an
-empty result.
+texts, and the last stage encodes and decodes the texts that are left. Stages that drop something decide
+by row, with a key of their own that is written once: a row without an id is judged like others, and of
+rows that repeat an id and a text one stays. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -19,23 +19,41 @@ from storyspark.llm.queries import RANKS, coded_digests
 from storyspark.session import written
 
 
+#: Column that names the rows of a stage's input, for that stage only.
+ROW = "_stage_row"
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a key per row, written once so that every later read sees the same keys."""
+    return written(docs.withColumn(ROW, F.monotonically_increasing_id()), "keyed")
+
+
+def dropped(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """Rows whose key is not in ``gone``, with the columns of the stage's input."""
+    return without(rows, written(gone.select(ROW), "gone"), ROW).drop(ROW)
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules keep."""
-    judged = outliers.quality_rules(docs)
-    return without(docs, written(judged.where("NOT kept").select("doc_id"), "rejected"))
+    rows = keyed(docs)
+    return dropped(rows, outliers.quality_rules(rows, id_col=ROW).where("NOT kept"))
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of near duplicates (five-word shingles, Jaccard 0.8 or more): the one
-    with the smallest id."""
-    joined = ngram_join.jaccard_join(docs, size=5, percent=80)
-    return without(docs, written(joined.where("component_id <> doc_id").select("doc_id"), "copies"))
+    with the smallest id; one without id stays only where no other row of the group has any."""
+    rows = keyed(docs)
+    joined = written(ngram_join.jaccard_join(rows, size=5, percent=80, id_col=ROW).select(ROW, "component_id"), "joined")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW)
+    stays = (joined.join(rows.select(ROW, "doc_id"), ROW).groupBy("component_id").agg(F.min(order).alias("first"))
+             .select(F.col(f"first.{ROW}").alias(ROW)))
+    return dropped(rows, joined.join(stays, ROW, "left_anti"))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage."""
-    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return without(docs, written(decontaminate.leaks(docs, benchmark).select("doc_id"), "leaks"))
+    rows = keyed(docs)
+    return dropped(rows, decontaminate.leaks(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col=ROW))
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
