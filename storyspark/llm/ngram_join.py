@@ -301,9 +301,17 @@ def _spans(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
 
 
 def _verify(percent: int):
-    """Sums of a cell's links by member, and each member's smallest linked member."""
+    """Sums of a cell's links by member, and each member's smallest linked member.
+
+    A cell's rows hold either a member's partners or its set.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cell in runs(batches, ["token", "x", "y"]):
+            partners: dict[int, list[int]] = {}
+            listed = cell.filter(cell.column("partners").is_valid())
+            for member, found in zip(listed.column("cls").to_pylist(), listed.column("partners").to_pylist()):
+                partners.setdefault(member, []).extend(found)
+            cell = cell.filter(cell.column("hashes").is_valid())
             ids, first = np.unique(cell.column("cls").to_numpy(), return_index=True)
             cell = cell.take(pa.array(first)).combine_chunks()
             sets = cell.column("hashes").chunk(0)
@@ -314,12 +322,12 @@ def _verify(percent: int):
             has = np.zeros(int(codes.max()) + 1 if len(codes) else 1, bool)
             links, classes = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
             root = np.arange(len(ids))
-            for i, partners in enumerate(cell.column("partners").to_pylist()):
-                if not partners:
+            for i, member in enumerate(ids.tolist()):
+                if not partners.get(member):
                     continue
                 own = codes[bounds[i]:bounds[i + 1]]
                 has[own] = True
-                others = np.searchsorted(ids, np.array(partners))
+                others = np.searchsorted(ids, np.array(partners[member]))
                 both = np.array([np.count_nonzero(has[codes[bounds[j]:bounds[j + 1]]]) for j in others])
                 has[own] = False
                 others = others[100 * both >= percent * (sizes[i] + sizes[others] - both)]
@@ -361,8 +369,11 @@ def jaccard_join(docs: DataFrame, size: int = 3, percent: int = 90, id_col: str
     classes = written(found.where("n > 0").groupBy("m1", "m2", "n")
                       .agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
                       .withColumn("cls", F.monotonically_increasing_id()), "classes")
+    named = classes.select("m1", "m2", "cls", "n", "rep")
+    if can_broadcast(classes.count(), 48):
+        named = F.broadcast(named)
     prefixes = written(_prefixes(docs, size, percent, table, id_col, text_col)
-                       .join(classes, ["m1", "m2"]).where("id <=> rep")
+                       .join(named, ["m1", "m2"]).where("id <=> rep")
                        .select("cls", "n", "ranges", "tokens"), "prefixes")
     places = prefixes.select("cls", F.posexplode("tokens").alias("at", "token"))
     held = F.xxhash64("cls")
@@ -373,9 +384,7 @@ def jaccard_join(docs: DataFrame, size: int = 3, percent: int = 90, id_col: str
     # The order of tokens is one for all, so of the same owners' tokens the least place is the first everywhere.
     kept = written(shared.groupBy("rows", "low", "high", "one", "two").agg(F.min_by("token", "at").alias("token"))
                    .select("token", F.ceil(F.col("rows") / block).cast("int").alias("blocks")), "kept")
-    if can_broadcast(kept.count(), 24):
-        kept = F.broadcast(kept)
-    members = (places.join(kept, "token").groupBy("cls")
+    members = (places.join(kept.hint("merge"), "token").groupBy("cls")
                .agg(F.array_sort(F.collect_set(F.struct("at", "token", "blocks"))).alias("found"))
                .join(prefixes.select("cls", "n", "ranges").dropDuplicates(["cls"]), "cls"))
     # A row carries the kept part of its own prefix before the token, to know first meetings.
@@ -398,10 +407,17 @@ def jaccard_join(docs: DataFrame, size: int = 3, percent: int = 90, id_col: str
         ids = F.broadcast(ids)
     texts = docs.select(F.col(id_col).cast("long").alias(id_col), text_col)
     texts = texts.join(ids, texts[id_col].eqNullSafe(ids[id_col]), "left_semi")
-    sets = (_whole(texts, size, id_col, text_col).join(wanted, ["m1", "m2"])
-            .select("cls", "copies", "hashes"))
+    # Sets meet the cells they are wanted in, by the cells' keys alone; partners reach the cell on their own.
+    cells = candidates.select(*key, "cls")
+    if can_broadcast(cells.count(), 32):
+        cells = F.broadcast(cells)
+    none = F.lit(None)
+    sets = (_whole(texts, size, id_col, text_col).join(wanted, ["m1", "m2"]).join(cells, "cls")
+            .select(*key, "cls", "copies", none.cast("array<long>").alias("partners"), "hashes"))
+    listed = candidates.select(*key, "cls", none.cast("long").alias("copies"), "partners",
+                               none.cast("array<long>").alias("hashes"))
     verified = written(
-        candidates.join(sets, "cls").repartition(*key).sortWithinPartitions(*key).mapInArrow(
+        sets.union(listed).repartition(*key).sortWithinPartitions(*key).mapInArrow(
             _verify(percent), "cls long, root long, links long, classes long"), "verified")
     labels = components(verified.where("classes > 0").select(F.col("cls").alias("a"), F.col("root").alias("b")))
     linked = verified.groupBy("cls").agg(F.sum("links").alias("links"))

@@ -184,8 +184,12 @@ def test_ngram_join_with_cells_cut_between_spans(monkeypatch, blocks):
     batches = pa.Table.from_pylist(cells, schema).to_batches(max_chunksize=100)
     found = pa.Table.from_batches(list(ngram_join._candidates(90)(iter(batches))))
     members = [k for k in found.column("cls").to_pylist()]
-    found = found.append_column("copies", pa.array(np.ones(len(found), np.int64)))
-    found = found.append_column("hashes", pa.array([sets[k].view(np.int64) for k in members], pa.list_(pa.int64())))
+    # A cell gets the partners and the sets of its members in rows of their own.
+    held = found.set_column(found.column_names.index("partners"), "partners", pa.nulls(len(found), pa.list_(pa.int64())))
+    held = held.append_column("copies", pa.array(np.ones(len(found), np.int64)))
+    held = held.append_column("hashes", pa.array([sets[k].view(np.int64) for k in members], pa.list_(pa.int64())))
+    found = found.append_column("copies", pa.nulls(len(found), pa.int64()))
+    found = pa.concat_tables([found.append_column("hashes", pa.nulls(len(found), pa.list_(pa.int64()))), held])
     links, label = [0] * len(sets), list(range(len(sets)))
     for batch in ngram_join._verify(90)(iter(found.sort_by([("x", "ascending"), ("y", "ascending")]).to_batches())):
         for r in batch.to_pylist():
