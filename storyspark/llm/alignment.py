@@ -67,7 +67,7 @@ class ByteLevel:
         self.splits = rules.get("use_regex", True) and not rules.get("add_prefix_space", False) and \
             rules.get("type") == "ByteLevel" and self.tokenizer.normalizer is None
         self.find = regex.compile(PRE_TOKEN).findall
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, tuple[int, ...]] = {}
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and how many each has. A pre-token's ids are asked for once and remembered."""
@@ -77,7 +77,7 @@ class ByteLevel:
             self.known = {}
         fresh = [w for w in set(flat) if w not in self.known]
         found = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
-        self.known.update((w, e.ids) for w, e in zip(fresh, found))
+        self.known.update((w, tuple(e.ids)) for w, e in zip(fresh, found))
         return _joined([self.known[w] for w in flat], np.fromiter(map(len, words), np.int64, len(words)))
 
 
@@ -98,7 +98,7 @@ class Pieces:
         return _joined(self.pieces.encode(texts, num_threads=1), np.ones(len(texts), np.int64))
 
 
-def _joined(lists: list[list[int]], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _joined(lists: list, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All numbers of ``lists`` in order, and how many of them every run of ``counts`` lists has."""
     ends = offsets(np.fromiter(map(len, lists), np.int64, len(lists)))
     return np.fromiter(chain.from_iterable(lists), np.int64, int(ends[-1])), np.diff(ends[offsets(counts)])
@@ -117,8 +117,11 @@ def skip_diagonals(a: list[int], b: list[int]) -> list[tuple[int, int, int, int,
     while i < n:
         if a[i] == b[j]:
             same, step = 1, 1
-            while a[i + same:i + same + step] == b[j + same:j + same + step] and i + same < n:
-                same, step = min(same + step, n - i), 2 * step
+            # Most stretches are short, so one pair of ends is looked at before slices are.
+            if i + 1 < n and a[i + 1] == b[j + 1]:
+                same = 2
+                while a[i + same:i + same + step] == b[j + same:j + same + step] and i + same < n:
+                    same, step = min(same + step, n - i), 2 * step
             while step > 1 and i + same < n:
                 step //= 2
                 if a[i + same:i + same + step] == b[j + same:j + same + step]:
