@@ -1,8 +1,8 @@
 """Custom five per (regions, topics) preference.
 
-All mixes of all dates are picked together, one greedy step per round.  The pool of a date is a
-published artifact of at most 20 stories, so a round is pool x mixes of a date, reduced to the
-best story per mix before the shuffle.
+All mixes of all dates are picked together, one greedy step per round.  A pool may be of any size: a
+round looks at an index of it (``class_heads``), the first rows of every class of stories that score alike
+for every mix, and a mix whose pick would depend on a row behind them is done again with longer heads.
 """
 
 from __future__ import annotations
@@ -149,19 +149,69 @@ _MEMBER = ("struct<id:string,cat:string,family:string,identity:string,url:string
            "event_family:string,is_roundup:boolean,is_product_story:boolean>,phase:int,k:double>")
 
 
+HEADS = 2                         # rows of a class that the first attempt looks at
+DEEPER = 8                        # factor of the next attempt, for the mixes that need one
+_ALIKE = [DATE, "cat", "category", "family", "primary", "topics"]
+
+
+def _selectable(pool: DataFrame) -> DataFrame:
+    """Rows some mix may take, with the sets that decide about it in one order."""
+    return pool.filter(F.col("id").isNotNull() & F.col("barred").isNull()).withColumns({
+        "primary": F.array_sort(F.array_distinct("primary")),
+        "topics": F.array_sort(F.array_distinct("topics"))}).filter(F.size("primary") > 0)
+
+
+def _alone() -> Column:
+    """The id of a row no duplicate rule can match, so that it is folded with no other; else NULL."""
+    product = F.coalesce(F.col("sid.is_product_story"), F.lit(False))
+    return F.when((text("identity") == "") & (text("url") == "") & ~product, F.col("id"))
+
+
+def class_heads(pool: DataFrame, depth: int) -> DataFrame:
+    """The first ``depth`` rows of every class and, where a class goes on, its next row as an open end.
+
+    Rows of a class agree on category, family, primary regions and topics.  They get the same phase and
+    the same bonuses in every mix at every step, so they are taken by base score and id.  Rows that also
+    agree on identity, URL and story are blocked together and only the first of them can be taken.  An
+    open end has the score of the first row left out, but no id and nothing a duplicate rule could match:
+    it ranks at or before every row left out.  Both the fold and the limit are applied before the
+    shuffle, so a class may hold any share of a pool.
+    """
+    place = F.struct((-F.col("base")).alias("k"), F.col("id").alias("i"))
+    folded = _selectable(pool).withColumn("_own", _alone()).groupBy(
+        *_ALIKE, "identity", "url", "sid", "_own").agg(F.min(place).alias("at"))
+    order = Window.partitionBy(*_ALIKE).orderBy("at")
+    first = folded.withColumn("rn", F.row_number().over(order)).filter(F.col("rn") <= depth + 1)
+    inside = F.col("rn") <= depth
+    return first.select(
+        *_ALIKE, *[F.when(inside, c).otherwise("").alias(n) for n, c in (
+            ("id", F.col("at.i")), ("identity", F.col("identity")), ("url", F.col("url")))],
+        F.when(inside, F.col("sid")).alias("sid"), (-F.col("at.k")).alias("base"),
+        F.lit(None).cast("string").alias("barred"))
+
+
 def select_mix(pool: DataFrame, mixes: DataFrame, size: int = V.STORY_COUNT) -> DataFrame:
     """State rows (edition_date, mix_id, regions, topics, order, quota, chosen) of every mix (K6).
 
-    ``pool`` comes from ``prepare``, ``mixes`` from ``normalize_requests``.
+    ``pool`` comes from ``prepare`` and has one row per id, ``mixes`` from ``normalize_requests``.  A mix
+    is settled when no open end of ``class_heads`` was taken; others start again with longer heads, at
+    the latest until no class has an open end.
     """
-    state = mixes.select(DATE, "mix_id", "regions", "topics",
-                         M.priority_regions("regions").alias("order"),
-                         M.quotas("regions", size).alias("quota"),
-                         F.array().cast(f"array<{_MEMBER}>").alias("chosen"))
-    columns = _columns(size)
-    for _ in range(size):
-        state = written(_round(pool, state, columns), "mix")
-    return state
+    none = F.array().cast(f"array<{_MEMBER}>")
+    left = mixes.select(DATE, "mix_id", "regions", "topics",
+                        M.priority_regions("regions").alias("order"),
+                        M.quotas("regions", size).alias("quota"), none.alias("chosen"))
+    columns, depth, settled = _columns(size), HEADS, None
+    behind = F.exists("chosen", lambda s: s["id"] == "")
+    while True:
+        heads, state = written(class_heads(pool, depth), "heads"), left
+        for _ in range(size):
+            state = written(_round(heads, state, columns), "mix")
+        sure = state.filter(~behind)
+        settled = sure if settled is None else settled.unionByName(sure)
+        left, depth = state.filter(behind).withColumn("chosen", none), depth * DEEPER
+        if left.isEmpty():
+            return settled
 
 
 def picks(state: DataFrame) -> DataFrame:
@@ -175,27 +225,57 @@ def picks(state: DataFrame) -> DataFrame:
                        (-F.col("s.k")).alias("final_score"))
 
 
+def _folded(usable: DataFrame) -> DataFrame:
+    """Rows of a mix view that every duplicate rule treats alike, as their first row and ``copies``.
+
+    An identity or URL that only one row of the date has matches nothing and is left out first, so a
+    group of equal identities under as many URLs becomes one row.
+    """
+    rows = usable
+    for name in ("identity", "url"):
+        shared = (usable.filter(text(name) != "").groupBy(DATE, name).count().filter("count > 1")
+                  .select(DATE, name, F.lit(True).alias("_many")))
+        rows = rows.join(shared, [DATE, name], "left").withColumn(
+            name, F.when(F.col("_many"), F.col(name)).otherwise("")).drop("_many")
+    product = F.coalesce(F.col("sid.is_product_story"), F.lit(False))
+    return (rows.withColumns({"sid": F.when(product, F.col("sid")), "_own": _alone()})
+            .groupBy(DATE, "category", "primary", "identity", "url", "sid", "_own")
+            .agg(F.min(F.struct((-F.col("base")).alias("k"), F.col("id").alias("i"))).alias("at"),
+                 F.count("*").alias("copies")).drop("_own"))
+
+
 def dedup_count(pool: DataFrame, mixes: DataFrame) -> DataFrame:
-    """(edition_date, mix_id, qualifying, distinct_stories): greedy distinct count by score."""
-    order = Window.partitionBy(DATE).orderBy(F.col("base").desc(), "id")
-    ranked = written(pool.withColumn("seq", F.row_number().over(order).cast("long")), "ranked")
-    lists = mixes.select(DATE, "mix_id", "topics", M.priority_regions("regions").alias("order"))
-    inside = written(lists.join(ranked.withColumnRenamed("topics", "topics_c"), DATE)
-                     .withColumn("pos", _positions()).filter(_usable())
-                     .select(DATE, "mix_id", "seq"), "inside")
+    """(edition_date, mix_id, qualifying, distinct_stories): greedy distinct count by score.
+
+    Mixes meet (category, primary regions) views of a pool and their counts, and only rows of some
+    duplicate pair are looked at per mix.
+    """
+    view = [DATE, "category", "primary"]
+    usable = _selectable(pool).withColumn("category", text("category"))
+    folded = written(_folded(usable), "folded")
+    sizes = folded.groupBy(*view).agg(F.sum("copies").alias("n"), F.sum(F.col("copies") - 1).alias("again"))
+    seen = written(mixes.select(DATE, "mix_id", "topics", M.priority_regions("regions").alias("order"))
+                   .join(sizes, DATE).withColumn("pos", _positions())
+                   .filter(M.topic_allowed("category", "topics") & (F.size("pos") > 0))
+                   .select(*view, "mix_id", "n", "again"), "seen")
+    # A global sort numbers the rows of a date in many tasks; numbers only have to increase.
+    ranked = written(folded.filter((text("identity") != "") | (text("url") != "") | F.col("sid").isNotNull())
+                     .orderBy(DATE, "at").withColumn("seq", F.monotonically_increasing_id()), "ranked")
     pairs = written(duplicate_pairs(ranked, fingerprints=False, pool_rules=True), "pairs")
+    nodes = pairs.select(DATE, F.explode(F.array("src", "dst")).alias("seq")).distinct()
+    inside = written(ranked.select(*view, "seq").join(nodes, [DATE, "seq"], "left_semi")
+                     .join(seen, view).select(DATE, "mix_id", "seq"), "inside")
     edges = (pairs.select(DATE, "src", "dst")
              .join(inside.withColumnRenamed("seq", "src"), [DATE, "src"])
              .join(inside.withColumnRenamed("seq", "dst"), [DATE, "mix_id", "dst"])
              .select(DATE, "mix_id", "src", "dst"))
     covered, _ = leader_rounds(edges, [DATE, "mix_id"])
     lost = covered.groupBy(DATE, "mix_id").agg(F.count("*").alias("lost"))
-    return (mixes.select(DATE, "mix_id")
-            .join(inside.groupBy(DATE, "mix_id").agg(F.count("*").alias("n")), [DATE, "mix_id"], "left")
+    totals = seen.groupBy(DATE, "mix_id").agg(F.sum("n").alias("n"), F.sum("again").alias("again"))
+    n, again, gone = (F.coalesce(c, F.lit(0)) for c in ("n", "again", "lost"))
+    return (mixes.select(DATE, "mix_id").join(totals, [DATE, "mix_id"], "left")
             .join(lost, [DATE, "mix_id"], "left")
-            .select(DATE, "mix_id", F.coalesce("n", F.lit(0)).alias("qualifying"),
-                    (F.coalesce("n", F.lit(0)) - F.coalesce("lost", F.lit(0)))
-                    .alias("distinct_stories")))
+            .select(DATE, "mix_id", n.alias("qualifying"), (n - again - gone).alias("distinct_stories")))
 
 
 def mix_summary(state: DataFrame, pool: DataFrame, mixes: DataFrame,

@@ -371,6 +371,26 @@ _TS = "[" + ", ".join("{'k': " + " + ".join(
 ORACLE["image_topics"] = f"""WITH {_SCORE}, t AS (SELECT seq, list_sort(list_filter({_TS}, lambda x: x.k < 0))[1] AS b FROM sc)
   SELECT seq, b.t AS topic, coalesce(-b.k, 0) AS topic_score FROM t"""
 
+# --- verbatim copies ---------------------------------------------------------------------------
+
+_EDGE = "[。．！？!?\\n 　]+"
+_MIN = V.JA_PASTE_MIN
+ORACLE["paste_detection"] = f"""WITH RECURSIVE f AS (SELECT conv_id, arg_min(text, turn) AS source FROM conversations
+   WHERE turn <= 1 GROUP BY conv_id),
+ l AS (SELECT conv_id, turn, text AS line, source, CASE WHEN length(text) >= {_MIN} AND length(source) >= {_MIN} THEN
+     list_filter(range(1, length(text) - {_MIN - 2}), lambda i: contains(source, substring(text, i, {_MIN}))) ELSE [] END AS hits
+   FROM conversations JOIN f USING (conv_id)),
+ w AS (SELECT conv_id, turn, 0 AS n, 1 AS pos, '' AS run FROM l
+   UNION ALL SELECT conv_id, turn, n + 1, fit + size, CASE WHEN n = 0 THEN substring(line, fit, size) ELSE run END FROM (
+     SELECT *, list_max(list_filter(range({_MIN}, length(line) - fit + 2), lambda k: contains(source, substring(line, fit, k)))) AS size FROM (
+       SELECT w.*, l.line, l.source, list_min(list_filter(l.hits, lambda x: x >= w.pos)) AS fit FROM w JOIN l USING (conv_id, turn))
+     WHERE fit IS NOT NULL)),
+ r AS (SELECT conv_id, turn, max(n) AS n_runs, regexp_replace(arg_max(run, n), '^{_EDGE}|{_EDGE}$', '', 'g') AS run FROM w GROUP BY ALL)
+ SELECT conv_id, turn, n_runs, CASE WHEN n_runs >= 2 OR (n_runs = 1 AND length(run) >= {_MIN} AND len(list_filter(
+     string_split_regex(source, '[。．！？!?\\n]'), lambda s: length(trim(s)) >= {_MIN} AND contains(trim(s), run)
+       AND length(run) / length(trim(s)) >= {V.JA_SENTENCE_COPY_RATIO})) > 0) THEN 1 ELSE 0 END AS pasted
+   FROM r JOIN l USING (conv_id, turn)"""
+
 # --- duplicates --------------------------------------------------------------------------------
 
 _SIG = f"""{_SCORE}{_META}{_SID}, fpt AS (SELECT *, {_FP} AS fp FROM sid),

@@ -529,6 +529,22 @@ def mix_picks(spark, sf):
                                         F.round("final_score", 6).alias("score"))
 
 
+@register
+def pool_mix_picks(spark, sf):
+    """Mixes of whole pools, not only of the enriched stories."""
+    m = J.mix_job(pool(spark, sf), requests(spark, sf))
+    return m.picks.select(day(), "mix_id", "rank", "id", "phase", "assigned_region",
+                          F.round("final_score", 6).alias("score"))
+
+
+@register
+def pool_mix_counts(spark, sf):
+    """Distinct stories per mix over whole pools."""
+    counts = X.dedup_count(written(X.prepare(pool(spark, sf)), "selector"),
+                           written(X.normalize_requests(requests(spark, sf)), "mixes"))
+    return counts.select(day(), "mix_id", "qualifying", "distinct_stories")
+
+
 @register
 def mix_summaries(spark, sf):
     s = _mix(spark, sf).summary

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 from pyspark.sql import functions as F
 
@@ -127,6 +128,21 @@ def test_paste_stretches_are_common_and_longest():
         assert not any(line[i:i + 4] in source for i in range(at, len(line) - 3))
 
 
+def test_paste_of_long_repetitive_texts_in_linear_memory():
+    rng = random.Random(1)
+    line, source = ("".join(rng.choice("ab") for _ in range(20_000)) for _ in range(2))
+    tracemalloc.start()
+    runs, at = N._runs(line, source, 15), 0
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64 << 20
+    for run in runs:
+        start = line.index(run, at)
+        at = start + len(run)
+        assert run in source and (at == len(line) or line[start:at + 1] not in source)
+    assert N._runs("a" * 20_000, "a" * 9_000, 15) == ["a" * 9_000, "a" * 9_000, "a" * 2_000]
+
+
 def test_mix_identity_and_quotas(spark):
     df = spark.createDataFrame([(["U.S", "JP", "jpn"], ["AI", "Tech"])], "r array<string>, t array<string>")
     row = df.select(M.normalize_regions("r").alias("r"), M.normalize_topics("t").alias("t"),

@@ -219,3 +219,81 @@ def test_identity_of_documents_of_any_size(spark):
         assert got[k].h == hashlib.sha256(whole.encode()).hexdigest()
         assert got[k].bytes == len(whole.encode()) > 2 << 20 and not got[k].within_limit
     assert P.document_identity(rows.limit(0), ["k"], "o", "json", "h").count() == 0
+
+
+def test_mixes_of_a_pool_deeper_than_its_heads(spark, monkeypatch):
+    """Open ends make mixes start again with longer heads; picks stay those of one story at a time."""
+    monkeypatch.setattr(X, "HEADS", 1)
+    monkeypatch.setattr(X, "DEEPER", 2)
+    rng = random.Random(3)
+    deep = []
+    for k, r in enumerate(rows(13, 160)):
+        same = r[:7] + ("TECH", ["tech"], [("japan", "primary", ["x"]), ("world", "primary", ["x"])]) + r[10:]
+        r = same if k % 4 else r
+        deep.append((*r[:1], f"d{k:03d}", *r[2:5], f"https://e.com/{rng.randrange(40)}", *r[6:12], f"i{rng.randrange(9)}", True))
+    pool = X.prepare(spark.createDataFrame(deep, POOL))
+    combos = [["japan"], ["world", "united_states"], ["japan", "united_states", "world"]]
+    requests = spark.createDataFrame([(DAY, r, t) for r in combos for t in ([], ["tech"], ["ai", "science", "tech"])],
+                                     "edition_date date, regions array<string>, topics array<string>")
+    mixes = X.normalize_requests(requests)
+    depths = []
+    heads = X.class_heads
+    monkeypatch.setattr(X, "class_heads", lambda p, d: depths.append(d) or heads(p, d))
+    state = X.select_mix(pool, mixes)
+    assert len(depths) > 2
+    picks = {}
+    for r in X.picks(state).orderBy("mix_id", "rank").collect():
+        picks.setdefault(r.mix_id, []).append(r.id)
+    local = pool.orderBy("id").collect()
+    counts = {r.mix_id: r for r in X.dedup_count(pool, mixes).collect()}
+    plain = [r.asDict() for r in local if r.barred is None]
+    for m in mixes.collect():
+        assert picks.get(m.mix_id, []) == one_at_a_time(local, m.regions, m.topics)[0], m.mix_id
+        usable = [c for c in plain if (not m.topics or set(TOPICS[c["category"]]) <= set(m.topics)) and set(c["primary"]) & set(m.regions)]
+        assert counts[m.mix_id].qualifying == len(usable)
+    assert state.count() == mixes.count() == len(counts)
+
+
+def test_distinct_counts_of_every_mix(spark):
+    base = [r[:2] + ("A plain story",) + r[3:5] + (f"https://e.com/{k % 25}",) + r[6:12] + (f"i{k % 17}" if k % 3 else "", True)
+            for k, r in enumerate(rows(21, 80))]
+    pool = X.prepare(spark.createDataFrame(base, POOL))
+    requests = [(DAY, r, t) for r in (["world"], ["japan", "world"], ["united_states"]) for t in ([], ["tech"], ["ai", "tech"])]
+    mixes = X.normalize_requests(spark.createDataFrame(requests, "edition_date date, regions array<string>, topics array<string>"))
+    local = [c for c in pool.collect()]
+    got = {r.mix_id: r.distinct_stories for r in X.dedup_count(pool, mixes).collect()}
+
+    def greedy(regions, topics):
+        kept = []
+        for c in sorted(local, key=lambda c: (-c.base, c.id)):
+            if c.barred or (topics and not set(TOPICS[c.category]) <= set(topics)) or not set(c.primary) & set(regions):
+                continue
+            if not any((c.identity and c.identity == s.identity) or c.url == s.url for s in kept):
+                kept.append(c)
+        return len(kept)
+
+    for m in mixes.collect():
+        assert got[m.mix_id] == greedy(m.regions, m.topics), m.mix_id
+
+
+def test_index_of_a_large_pool_stays_small(spark):
+    """A class with most rows of a pool, and one identity under 20,000 URLs, give a few rows."""
+    one = spark.createDataFrame(rows(1, 1), POOL).drop("id", "url", "identity", "headline", "published_at", "source_reliability")
+    many = one.crossJoin(spark.range(20_000).select(
+        F.format_string("s%06d", "id").alias("id"), F.format_string("https://e.com/%d", "id").alias("url"), F.lit("i").alias("identity"),
+        F.lit("A plain story").alias("headline"), F.lit("2026-07-27 03:00:00").cast("timestamp").alias("published_at"),
+        F.lit("high").alias("source_reliability"))).withColumn("memberships", F.expr(
+            "array(named_struct('id', 'japan', 'strength', 'primary', 'evidence', array('x')))"))
+    pool = X.prepare(many)
+    assert X.class_heads(pool, 2).count() == 3
+    mixes = X.normalize_requests(spark.createDataFrame([(DAY, ["japan"], [])], "edition_date date, regions array<string>, topics array<string>"))
+    got = X.dedup_count(pool, mixes).first()
+    assert (got.qualifying, got.distinct_stories) == (20_000, 1)
+
+
+def test_mixes_of_an_empty_pool(spark):
+    pool = X.prepare(spark.createDataFrame([], POOL))
+    mixes = X.normalize_requests(spark.createDataFrame([(DAY, ["japan"], [])], "edition_date date, regions array<string>, topics array<string>"))
+    assert X.picks(X.select_mix(pool, mixes)).count() == 0
+    got = X.mix_summary(X.select_mix(pool, mixes), pool, mixes).first()
+    assert (got.qualifying, got.distinct_stories, got.unfilled) == (0, 0, 5)
