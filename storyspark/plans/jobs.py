@@ -169,47 +169,98 @@ def mix_job(pool: DataFrame, requests: DataFrame) -> Mixes:
 @dataclass
 class Recovery:
     drafts: DataFrame | None     # accepted drafts
-    attempts: DataFrame          # edition_date, attempt, kind, result, failed_ids
+    attempts: DataFrame          # edition_date, attempt, kind, result, failed_ids, hard, warnings, actions
+
+
+def newest_texts(articles: DataFrame, versions: DataFrame, failed: DataFrame) -> DataFrame:
+    """(edition_date, id, text) of the failed stories: the newest version of each, else its article.
+
+    ``versions``: edition_date, id, version, text; only versions of a failed story of the same date count,
+    and of equal versions the greatest text, so a story has one row.
+    """
+    fresh = (versions.join(failed, [DATE, "id"], "left_semi").filter(F.trim(F.coalesce("text", F.lit(""))) != "")
+             .groupBy(DATE, "id").agg(F.max(F.struct("version", "text")).alias("v"))
+             .select(DATE, "id", F.col("v.text").alias("_fresh")))
+    old = articles.groupBy("id").agg(F.max("text").alias("_old"))
+    return (failed.join(fresh, [DATE, "id"], "left").join(old, "id", "left")
+            .select(DATE, "id", F.coalesce("_fresh", "_old").alias("text")))
+
+
+def _with_texts(five: DataFrame, articles: DataFrame, versions: DataFrame, failed: DataFrame) -> DataFrame:
+    """Drafts of the five: failed stories from their newest text, the others from what they had."""
+    texts = written(newest_texts(articles, versions, failed), "texts")
+    kept = five.join(failed, [DATE, "id"], "left_anti")
+    again = five.join(failed, [DATE, "id"], "left_semi")
+    # A text belongs to a date, and drafting joins texts by id: the date becomes part of the id.
+    scoped = F.concat_ws("|", F.col(DATE).cast("string"), "id")
+    redone = draft_job(again.withColumn("id", scoped), texts.select(scoped.alias("id"), "text")).withColumn(
+        "id", F.expr("substring(id, 12)"))
+    return draft_job(kept, articles).unionByName(redone)
+
+
+def _audit(drafts: DataFrame, found: DataFrame, attempt: int) -> DataFrame:
+    """Per date: result, failed ids, the texts of failed rules and warnings, and the five ids."""
+    note = F.concat_ws(": ", "field", "message")
+    lists = found.groupBy("key").agg(*[F.array_sort(F.collect_set(F.when(test, note))).alias(c) for c, test in (
+        ("hard", F.col("rule") != "warn"), ("warnings", F.col("rule") == "warn"))])
+    ids = drafts.groupBy(F.col(DATE).cast("string").alias("key")).agg(F.array_sort(F.collect_set("id")).alias("ids"))
+    return (D.validation_report(drafts, found).drop("hard", "warnings").join(ids, "key").join(lists, "key", "left")
+            .withColumn(DATE, F.to_date("key")).drop("key"))
+
+
+def _with_actions(verdict: DataFrame, attempt: int) -> DataFrame:
+    """``actions`` as ``id: what happened``: replaced stories of the round before, then the five."""
+    def told(ids, what):
+        return F.transform(F.coalesce(ids, F.array().cast("array<string>")), lambda i: F.concat(i, F.lit(f": {what}")))
+
+    failed = told(F.col("failed_ids"), "refetch-retry" if attempt == 1 else "rejected")
+    now = F.when(F.col("result") == "pass", told(F.col("ids"), "accepted")).otherwise(failed)
+    return verdict.withColumn("actions", F.concat(told(F.col("before"), "replaced"), now)).drop("ids", "before")
 
 
 def recovery_job(cands: DataFrame, editions: DataFrame, articles: DataFrame,
                  refetched: DataFrame | None = None, max_replacement_rounds: int = 3,
                  min_candidates: int = 20) -> Recovery:
     """Rank, draft and validate; failing dates retry with fresh texts, then without the failed
-    stories, at most five validations in all; what still fails stays unpublished (Q7)."""
+    stories, at most five validations in all; what still fails stays unpublished (Q7).
+
+    ``refetched``: edition_date, id, version, text.  The audit has a row per date and attempt with the
+    rules that failed and warned, and what was done with every story.
+    """
+    last_attempt = min(2 + max_replacement_rounds, V.MAX_VALIDATIONS)
     accepted, log = None, []
     excluded, open_cands, last = None, cands, None
-    for attempt in range(1, 3 + max_replacement_rounds):
+    for attempt in range(1, last_attempt + 1):
         kind = "initial" if attempt == 1 else "refetch" if attempt == 2 else "replacement"
         if attempt == 2:
             # Same five stories; only failed ids draft from a fresh text, if there is one.
-            failed = last.select(DATE, F.explode("failed_ids").alias("id"))
-            fresh = articles if refetched is None else articles.join(
-                failed.select("id").distinct(), "id", "left_anti").unionByName(refetched)
+            failed = last.select(DATE, F.explode("failed_ids").alias("id")).distinct()
             five = written(five.join(last.select(DATE), DATE, "left_semi"), "five")
-            texts = fresh
+            drafts = written(draft_job(five, articles) if refetched is None else
+                             _with_texts(five, articles, refetched, failed), "drafts")
         else:
             five = written(edition_job(open_cands, editions, excluded, min_candidates).picks, "five")
-            texts = articles
-        drafts = written(draft_job(five, texts), "drafts")
-        report = D.validation_report(drafts, D.validate_drafts(drafts))
-        verdict = written(report.withColumn(DATE, F.to_date("key")).drop("key"), "verdict")
-        missing = open_cands.select(DATE).distinct().join(verdict.select(DATE), DATE, "left_anti").select(
-            DATE, F.lit("no-selection").alias("result"), F.array().cast("array<string>").alias("failed_ids"))
-        log.append(verdict.select(DATE, "result", "failed_ids").unionByName(missing).withColumns(
-            {"attempt": F.lit(attempt), "kind": F.lit(kind)}))
-        good = drafts.join(verdict.filter("result = 'pass'").select(DATE), DATE, "left_semi")
+            drafts = written(draft_job(five, articles), "drafts")
+        found = written(D.validate_drafts(drafts), "found")
+        verdict = written(_audit(drafts, found, attempt).join(
+            last.select(DATE, F.col("failed_ids").alias("before")) if attempt > 2 else
+            drafts.select(DATE, F.array().cast("array<string>").alias("before")).limit(0), DATE, "left"), "verdict")
+        missing = open_cands.select(DATE).distinct().join(verdict.select(DATE), DATE, "left_anti")
+        # The dates without five stories have no drafts; their audit row says so.
+        log.append(_with_actions(verdict, attempt).unionByName(
+            missing.withColumn("result", F.lit("no-selection")), allowMissingColumns=True).withColumns(
+                {"attempt": F.lit(attempt), "kind": F.lit(kind), **{c: F.coalesce(c, F.array().cast("array<string>"))
+                 for c in ("failed_ids", "hard", "warnings", "actions")}}))
+        good = drafts.join(verdict.filter("result = 'fail'").select(DATE), DATE, "left_anti")
         accepted = good if accepted is None else accepted.unionByName(good)
         last = written(verdict.filter("result = 'fail'"), "failing")
-        if last.isEmpty():
+        if last.isEmpty() or attempt == last_attempt:
             break
         if attempt >= 2:
             more = last.select(DATE, F.explode("failed_ids").alias("id"))
             excluded = written(more if excluded is None else excluded.unionByName(more).distinct(),
                                "excluded")
-            open_cands = written(cands.join(last.select(DATE), DATE, "left_semi"), "open")
-        else:
-            open_cands = written(cands.join(last.select(DATE), DATE, "left_semi"), "open")
+        open_cands = written(cands.join(last.select(DATE), DATE, "left_semi"), "open")
     return Recovery(accepted, union(*log))
 
 

@@ -87,3 +87,57 @@ def test_enrichment_fails_closed_below_the_minimum(spark):
     assert ident.selector_pool_identity == P.pool_identity(pool).first().pool_identity
     few = J.enrichment_job(pool, arts.limit(10), images, none)
     assert few.dates.first().survivors == 10 and few.pool.count() == 0 and few.failures.count() == 6
+
+
+def five_picks(spark, day):
+    rows = [(day, n, f"s{n}", n, n == 1, None, f"Headline {n}", "Local", "WORLD", f"https://e.com/{n}", "Short.", False) for n in range(1, 6)]
+    return spark.createDataFrame(rows, "edition_date date, seq int, id string, rank int, lead boolean, tag string, title string, "
+                                       "source string, category string, url string, snippet string, paywalled boolean")
+
+
+def test_newest_text_of_a_failed_story(spark):
+    later = DAY + dt.timedelta(days=1)
+    articles = spark.createDataFrame([(f"s{n}", f"old {n}") for n in range(1, 5)] + [("s1", "old 0")], "id string, text string")
+    versions = spark.createDataFrame(
+        [(DAY, "s1", 1, "first"), (DAY, "s1", 2, "second"), (DAY, "s1", 2, "second"), (DAY, "s2", 3, "not failed"), (later, "s3", 1, "other date"),
+         (DAY, "s4", 1, " "), (DAY, "s4", 2, None)], "edition_date date, id string, version int, text string")
+    failed = spark.createDataFrame([(DAY, "s1"), (DAY, "s3"), (DAY, "s4"), (DAY, "s5")], "edition_date date, id string")
+    got = {r.id: r.text for r in J.newest_texts(articles, versions, failed).collect()}
+    assert got == {"s1": "second", "s3": "old 3", "s4": "old 4", "s5": None}
+
+
+def test_refetched_text_mends_only_its_story_and_date(spark):
+    later = DAY + dt.timedelta(days=1)
+    both = five_picks(spark, DAY).unionByName(five_picks(spark, later))
+    body = " ".join(GOOD.format(k) for k in range(3)) + " Critics could still block the plan in court before the end of next year."
+    articles = spark.createDataFrame([(f"s{n}", body) for n in (1, 2, 4, 5)], "id string, text string")
+    versions = spark.createDataFrame([(DAY, "s3", 1, "thin"), (DAY, "s3", 2, body), (later, "s1", 9, "thin")],
+                                     "edition_date date, id string, version int, text string")
+    failed = spark.createDataFrame([(DAY, "s3"), (later, "s3")], "edition_date date, id string")
+    got = J._with_texts(both, articles, versions, failed)
+    used = {(r.edition_date, r.id): r.source_text_used for r in got.collect()}
+    assert got.count() == len(used) == 10
+    assert used[DAY, "s3"] == "full_article" and used[later, "s3"] == "rss_snippet" and used[later, "s1"] == "full_article"
+
+
+def test_recovery_audit_and_its_limit(spark, monkeypatch):
+    """A refetched text mends one date; a hopeless one is validated five times at most and stays unpublished."""
+    later = DAY + dt.timedelta(days=1)
+    body = " ".join(GOOD.format(k) for k in range(3)) + " Critics could still block the plan in court before the end of next year."
+    monkeypatch.setattr(J, "edition_job", lambda cands, *_: J.E.Edition(*[cands] * len(J.E.Edition.__dataclass_fields__)))
+    good = f" {body}"
+    articles = spark.createDataFrame([(f"s{n}", good) for n in (1, 2, 4, 5)], "id string, text string")
+    versions = spark.createDataFrame([(DAY, "s3", 1, body)], "edition_date date, id string, version int, text string")
+
+    def verdicts(drafts, strict=True):
+        return drafts.filter("source_text_used <> 'full_article'").select(
+            F.col("edition_date").cast("string").alias("key"), F.lit("thin").alias("rule"), F.col("id").alias("field"), F.lit("no text").alias("message"))
+
+    monkeypatch.setattr(J.D, "validate_drafts", verdicts)
+    both = five_picks(spark, DAY).unionByName(five_picks(spark, later))
+    out = J.recovery_job(both, None, articles, versions, max_replacement_rounds=9)
+    log = {(r.edition_date, r.attempt): r for r in out.attempts.collect()}
+    assert len(log) == 7 and max(a for _, a in log) == 5
+    assert log[DAY, 1].actions == ["s3: refetch-retry"] and log[DAY, 1].hard == ["s3: no text"] and log[DAY, 2].result == "pass"
+    assert log[later, 2].actions == ["s3: rejected"] and log[later, 3].actions == ["s3: replaced", "s3: rejected"]
+    assert sorted((r.edition_date, r.id) for r in out.drafts.collect()) == [(DAY, f"s{n}") for n in range(1, 6)]
