@@ -39,7 +39,7 @@ RANGES = 16
 #: Words whose hash a worker remembers before it starts afresh.
 REMEMBERED = 500_000
 #: Rows of cells and pairs of rows that are filtered at once, about; pairs of a cell checked one by one.
-CELL_ROWS, PAIRS, FEW = 4_000, 500_000, 64
+CELL_ROWS, PAIRS, FEW = 1_000, 100_000, 64
 
 
 class _Words(dict):
@@ -316,9 +316,11 @@ def _verify(percent: int):
             cell = cell.take(pa.array(first)).combine_chunks()
             sets = cell.column("hashes").chunk(0)
             bounds = sets.offsets.to_numpy()
-            _, codes = np.unique(sets.values.to_numpy()[bounds[0]:bounds[-1]], return_inverse=True)
+            # Small codes take the place of the hashes, so a cell is held once.
+            codes = np.unique(sets.values.to_numpy()[bounds[0]:bounds[-1]], return_inverse=True)[1].astype(np.int32)
             bounds = bounds - bounds[0]
-            sizes, copies = np.diff(bounds), cell.column("copies").to_numpy()
+            sizes, copies = np.diff(bounds), cell.column("copies").to_numpy().copy()
+            del sets, cell, listed
             has = np.zeros(int(codes.max()) + 1 if len(codes) else 1, bool)
             links, classes = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
             root = np.arange(len(ids))
