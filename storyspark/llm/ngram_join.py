@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storyspark.llm.common import can_broadcast, offsets, runs, small_batches
+from storyspark.llm.common import bounded_batches, can_broadcast, offsets, runs
 from storyspark.llm.components import components
 from storyspark.session import written
 
@@ -36,6 +36,8 @@ SKETCH_BITS = 18
 BLOCK = 400
 #: Hash ranges of the suffix filter.
 RANGES = 16
+#: Bytes of an Arrow batch, about: sets of long texts are large rows.
+BATCH_BYTES = 4 << 20
 #: Words whose hash a worker remembers before it starts afresh.
 REMEMBERED = 500_000
 #: Rows of cells and pairs of rows that are filtered at once, about; pairs of a cell checked one by one.
@@ -359,8 +361,12 @@ def jaccard_join(docs: DataFrame, size: int = 3, percent: int = 90, id_col: str
 
     Two documents link when ``100 * intersection >= percent * union`` of their shingle sets.
     """
-    spark = docs.sparkSession
-    small_batches(spark)
+    # Every step with Python workers is written inside the block.
+    with bounded_batches(docs.sparkSession, BATCH_BYTES):
+        return _join(docs, size, percent, id_col, text_col, block)
+
+
+def _join(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str, block: int) -> DataFrame:
     rows = written(_sets(docs, size, id_col, text_col), "sets")
     found = rows.where("n IS NOT NULL").select("id", "n", "m1", "m2")
     counted = (rows.where("buckets IS NOT NULL").select(F.inline(F.arrays_zip("buckets", "counts")))
