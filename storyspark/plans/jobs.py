@@ -274,7 +274,10 @@ class Published:
 
 def publish_job(editions: DataFrame, path: str, manifest: DataFrame, base_url: str, today: Column,
                 replace: bool = False) -> Published:
-    """Validate editions, merge spoken tracks, write them and read the served one back (Q8)."""
+    """Validate editions, merge spoken tracks, write them and read the served one back (Q8).
+
+    Dates older than the edition served before are refused like dates that exist.
+    """
     typed = editions.withColumn("json", Q.signal_json(editions.columns)).withColumn(
         "inner_date", F.col(DATE).cast("string"))
     problems = written(union(Q.validate_structure(typed), Q.validate_prose(typed),
@@ -293,6 +296,11 @@ def publish_job(editions: DataFrame, path: str, manifest: DataFrame, base_url: s
     served = F.when(listen.isNull(), F.col("json")).otherwise(F.concat(
         F.substr("json", F.lit(1), F.length("json") - 1), F.lit(',"listen":'), listen, F.lit("}")))
     ready = written(merged.withColumn("json", served), "ready")
-    refused = tables.write_edition(ready.drop("outcome"), path, replace)
-    back = editions.sparkSession.read.parquet(path)
+    spark = editions.sparkSession
+    before = tables.published(spark, path)
+    stale = ready.select(DATE).limit(0) if before is None else tables.stale_dates(ready, Q.latest_edition(before))
+    stale = written(stale, "stale")
+    current = ready.drop("outcome").join(stale, DATE, "left_anti")
+    refused = tables.write_edition(current, path, replace).unionByName(stale)
+    back = spark.read.parquet(path)
     return Published(refused, problems, dialogue.outcome_counts(ready), Q.latest_edition(back))

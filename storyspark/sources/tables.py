@@ -57,19 +57,24 @@ def read_editions(spark: SparkSession, path: str) -> DataFrame:
         DATE, "inner_date", "focus", "version", "pos", "json", "s.*")
 
 
+def published(spark: SparkSession, path: str) -> DataFrame | None:
+    """What was published under ``path``; None when nothing was."""
+    try:
+        return spark.read.parquet(path)
+    except Exception as error:
+        if "PATH_NOT_FOUND" not in str(error) and "UNABLE_TO_INFER_SCHEMA" not in str(error):
+            raise
+        return None
+
+
 def write_edition(df: DataFrame, path: str, replace: bool = False) -> DataFrame:
     """Write editions, one immutable partition per date; returns the refused dates.
 
     Dates that exist are refused, unless ``replace`` asks to correct them.
     """
-    spark = df.sparkSession
     dates = df.select(DATE).distinct()
-    try:
-        have = spark.read.parquet(path).select(DATE).distinct()
-    except Exception as error:                                    # nothing published yet
-        if "PATH_NOT_FOUND" not in str(error) and "UNABLE_TO_INFER_SCHEMA" not in str(error):
-            raise
-        have = dates.limit(0)
+    there = published(df.sparkSession, path)
+    have = dates.limit(0) if there is None else there.select(DATE).distinct()
     refused = dates.limit(0) if replace else dates.join(have, DATE, "left_semi")
     refused = written(refused, "refused")
     fresh = df.join(refused, DATE, "left_anti")

@@ -41,6 +41,20 @@ def test_publish_serves_only_complete_editions(spark, tmp_path):
     assert [str(r.edition_date) for r in TB.stale_dates(edition(spark, DAY - dt.timedelta(days=3)), out.latest).collect()] == ["2026-07-17"]
 
 
+def test_publish_refuses_dates_before_the_served_one(spark, tmp_path):
+    path = str(tmp_path / "editions")
+    today = F.lit("2026-07-21").cast("date")
+    first = J.publish_job(edition(spark), path, manifest(spark), "https://cdn", today)
+    assert first.refused.count() == 0
+    older = DAY - dt.timedelta(days=3)
+    out = J.publish_job(edition(spark, older), path, manifest(spark, older), "https://cdn", today, replace=True)
+    assert [r.edition_date for r in out.refused.collect()] == [older]
+    assert {r.edition_date for r in TB.published(spark, path).select("edition_date").distinct().collect()} == {DAY}
+    again = J.publish_job(edition(spark), path, manifest(spark), "https://cdn", today, replace=True)
+    assert again.refused.count() == 0 and again.latest.count() == 5
+    assert TB.published(spark, str(tmp_path / "none")) is None
+
+
 def test_lookup_falls_back_to_newest(spark):
     dates = spark.createDataFrame([(DAY,), (DAY + dt.timedelta(days=1),)], "edition_date date")
     asks = spark.createDataFrame([(1, dt.datetime(2026, 7, 20, 20), "Asia/Tokyo"), (2, dt.datetime(2026, 7, 20, 20), "UTC"),
