@@ -20,6 +20,7 @@ table gives an empty result.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 from itertools import chain
 
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from storyspark.llm.common import PRE_TOKEN, bounded_batches, gather, offsets
+from storyspark.llm.common import PRE_TOKEN, SPACE, bounded_batches, gather, offsets
 from storyspark.session import written
 
 #: Pairs whose counts are broadcast at most (24 bytes each).
@@ -40,6 +41,36 @@ LISTED = 4_096
 REMEMBERED = 400_000
 
 
+class _Remembered(dict):
+    """Numbers of words in order of appearance, and the ids of every word in one flat array."""
+
+    def __init__(self, ask):
+        super().__init__()
+        self.ask, self.fresh = ask, []
+        self.flat, self.ends = np.zeros(0, np.int64), np.zeros(1, np.int64)
+
+    def __missing__(self, word: str) -> int:
+        self.fresh.append(word)
+        number = self[word] = len(self)
+        return number
+
+    def encode(self, words: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, given as words, and how many each text has."""
+        if len(self) > REMEMBERED or len(self.flat) > 8 * REMEMBERED:
+            self.clear()
+            self.flat, self.ends = self.flat[:0], self.ends[:1]
+        per_text = np.fromiter(map(len, words), np.int64, len(words))
+        codes = np.fromiter(map(self.__getitem__, chain.from_iterable(words)), np.int64, int(per_text.sum()))
+        if self.fresh:
+            found, self.fresh = self.ask(self.fresh), []
+            ends = self.ends[-1] + np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
+            fresh = np.fromiter(chain.from_iterable(found), np.int64, int(ends[-1] - self.ends[-1]))
+            self.flat, self.ends = np.concatenate([self.flat, fresh]), np.concatenate([self.ends, ends])
+        starts = self.ends[codes]
+        sizes = self.ends[codes + 1] - starts
+        return gather(self.flat, starts, sizes), np.diff(offsets(sizes)[offsets(per_text)])
+
+
 class ByteLevel:
     """A byte-level ``tokenizers`` file; its tokens of a text begin with those of a space before it."""
 
@@ -67,18 +98,18 @@ class ByteLevel:
         self.splits = rules.get("use_regex", True) and not rules.get("add_prefix_space", False) and \
             rules.get("type") == "ByteLevel" and self.tokenizer.normalizer is None
         self.find = regex.compile(PRE_TOKEN).findall
-        self.known: dict[str, tuple[int, ...]] = {}
+        # The same pattern over ASCII, where the letters and digits are these.
+        self.find_ascii = re.compile(PRE_TOKEN.replace(rf"[{SPACE}]", r"[\t-\r ]").replace(f"^{SPACE}", r"^\t-\r ")
+                                     .replace(r" ?\p{L}", " ?[A-Za-z]").replace(r" ?\p{N}", " ?[0-9]")
+                                     .replace(r"\p{L}\p{N}", "A-Za-z0-9")).findall
+        self.known = _Remembered(lambda words: [
+            e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and how many each has. A pre-token's ids are asked for once and remembered."""
-        words = [self.find(" " + t) for t in texts] if self.splits else [[" " + t] for t in texts]
-        flat = list(chain.from_iterable(words))
-        if len(self.known) > REMEMBERED or not self.splits:
-            self.known = {}
-        fresh = [w for w in set(flat) if w not in self.known]
-        found = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
-        self.known.update((w, tuple(e.ids)) for w, e in zip(fresh, found))
-        return _joined([self.known[w] for w in flat], np.fromiter(map(len, words), np.int64, len(words)))
+        if not self.splits:
+            return self.known.encode([[" " + t] for t in texts])
+        return self.known.encode([(self.find_ascii if t.isascii() else self.find)(" " + t) for t in texts])
 
 
 class Pieces:
@@ -93,15 +124,19 @@ class Pieces:
             piece = self.pieces.id_to_piece(number)
             self.tokens.append(bytes([int(piece[3:-1], 16)]) if self.pieces.is_byte(number)
                                else piece.replace("▁", " ").encode())
+        # Where no piece goes on over a space, a word's pieces depend on nothing around it.
+        self.splits = not any(b" " in t.lstrip(b" ") for t in self.tokens) and self.pieces.encode("a b") == \
+            self.pieces.encode("a") + self.pieces.encode("b")
+        self.known = _Remembered(lambda words: self.pieces.encode(words, num_threads=1))
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        return _joined(self.pieces.encode(texts, num_threads=1), np.ones(len(texts), np.int64))
+    def _words(self, text: str) -> list[str]:
+        """Parts of a text that are encoded on their own: its words if single spaces part them."""
+        if not self.splits or not text.isascii() or "  " in text or text[:1] == " " or text[-1:] == " ":
+            return [text]
+        return text.split(" ")
 
-
-def _joined(lists: list, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All numbers of ``lists`` in order, and how many of them every run of ``counts`` lists has."""
-    ends = offsets(np.fromiter(map(len, lists), np.int64, len(lists)))
-    return np.fromiter(chain.from_iterable(lists), np.int64, int(ends[-1])), np.diff(ends[offsets(counts)])
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return self.known.encode([self._words(t) for t in texts])
 
 
 def tokenizer(name: str, data: bytes) -> ByteLevel | Pieces:
@@ -115,22 +150,23 @@ def skip_diagonals(a: list[int], b: list[int]) -> list[tuple[int, int, int, int,
     """
     out, i, j, n = [], 0, 0, len(a)
     while i < n:
-        if a[i] == b[j]:
+        x, y = a[i], b[j]
+        if x == y:
             same, step = 1, 1
             # Most stretches are short, so one pair of ends is looked at before slices are.
             if i + 1 < n and a[i + 1] == b[j + 1]:
                 same = 2
-                while a[i + same:i + same + step] == b[j + same:j + same + step] and i + same < n:
+                while i + same < n and a[i + same:i + same + step] == b[j + same:j + same + step]:
                     same, step = min(same + step, n - i), 2 * step
-            while step > 1 and i + same < n:
-                step //= 2
-                if a[i + same:i + same + step] == b[j + same:j + same + step]:
-                    same += step
-            out.append((i, i + same, j, j + same, True))
-            i, j = i + same, j + same
+                while step > 1 and i + same < n:
+                    step //= 2
+                    if a[i + same:i + same + step] == b[j + same:j + same + step]:
+                        same += step
+            out += (i, i + same, j, j + same, 1)
+            i += same
+            j += same
         else:
             at, to = i, j
-            x, y = a[i], b[j]
             while x != y:
                 if x < y:
                     i += 1
@@ -138,9 +174,11 @@ def skip_diagonals(a: list[int], b: list[int]) -> list[tuple[int, int, int, int,
                 else:
                     j += 1
                     y = b[j]
-            i, j = i + 1, j + 1
-            out.append((at, i, to, j, False))
-    return out
+            i += 1
+            j += 1
+            out += (at, i, to, j, 0)
+    found = iter(out)
+    return list(zip(found, found, found, found, found))
 
 
 def group_ends(found: list[tuple[int, int, int, int, bool]]) -> tuple[np.ndarray, np.ndarray]:
@@ -164,20 +202,20 @@ def linked_pairs(a: np.ndarray, b: np.ndarray, a_ends: np.ndarray, b_ends: np.nd
     links = (n * m)[small]
     place = np.arange(links.sum()) - np.repeat(np.cumsum(links) - links, links)
     right = b[np.repeat((b_ends - m)[small], links) + place % np.repeat(m[small], links)]
-    rows, codes, times = [np.repeat(row[small], links)], [left * width + right], [np.ones(len(left), np.int64)]
-    for k in np.flatnonzero(~small).tolist():
-        x, often = np.unique(a[a_ends[k] - n[k]:a_ends[k]], return_counts=True)
-        y, much = np.unique(b[b_ends[k] - m[k]:b_ends[k]], return_counts=True)
-        codes.append((x[:, None] * width + y).ravel())
-        times.append((often[:, None] * much).ravel())
-        rows.append(np.full(len(codes[-1]), row[k]))
-    row, code, often = (np.concatenate(v) for v in (rows, codes, times))
-    order = np.lexsort((code, row))
-    row, code, often = row[order], code[order], often[order]
-    first = np.ones(len(row), bool)
-    first[1:] = (row[1:] != row[:-1]) | (code[1:] != code[:-1])
-    at = np.flatnonzero(first)
-    return row[at], code[at], np.add.reduceat(often, at) if len(at) else often
+    # A row and a pair in one number sort faster than two keys.
+    span = width * (int(a.max(initial=0)) + 1)
+    keys, times = np.unique(np.repeat(row[small], links) * span + (left * width + right), return_counts=True)
+    if not small.all():
+        more, often = [keys], [times]
+        for k in np.flatnonzero(~small).tolist():
+            x, once = np.unique(a[a_ends[k] - n[k]:a_ends[k]], return_counts=True)
+            y, much = np.unique(b[b_ends[k] - m[k]:b_ends[k]], return_counts=True)
+            more.append(row[k] * span + (x[:, None] * width + y).ravel())
+            often.append((once[:, None] * much).ravel())
+        keys, place = np.unique(np.concatenate(more), return_inverse=True)
+        times = np.zeros(len(keys), np.int64)
+        np.add.at(times, place, np.concatenate(often))
+    return keys // span, keys % span, times
 
 
 class _Side:

@@ -119,6 +119,27 @@ def test_alignment_empty(spark):
     assert alignment.count_links(aligned, alignment.right_ids(RIGHT)).count() == 0
 
 
+@pytest.fixture(scope="module")
+def both_sides():
+    made = [alignment.tokenizer(path, open(path, "rb").read()) for path in (LEFT, RIGHT)]
+    whole, pieces = Tokenizer.from_file(LEFT), sentencepiece.SentencePieceProcessor(model_file=RIGHT)
+    whole.encode_special_tokens = True
+    return [(made[0], lambda t: whole.encode(" " + t, add_special_tokens=False).ids), (made[1], pieces.encode)]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.one_of(st.sampled_from(" ab1.\n\t'"), st.characters(codec="ascii"), st.characters(codec="utf-8")),
+                        max_size=20), max_size=4))
+def test_remembered_words_are_encoded_as_in_whole_texts(both_sides, texts):
+    for side, plain in both_sides:
+        want = [plain(t) for t in texts]
+        for limit in (alignment.REMEMBERED, 0):
+            with pytest.MonkeyPatch.context() as patch:
+                patch.setattr(alignment, "REMEMBERED", limit)
+                ids, counts = side.encode(texts)
+            assert ids.tolist() == [k for row in want for k in row] and counts.tolist() == [len(row) for row in want]
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.integers(1, 60), max_size=40), st.lists(st.integers(1, 60), max_size=40), st.integers(61, 70))
 def test_skip_diagonals(a, b, last):
