@@ -90,7 +90,7 @@ ORACLE["url_forms"] = f"""SELECT page_id, {PAGE_CANON} AS canonical, {pool_form(
   {scheme()} || '://' || lower({net()}) || rtrim({path()}, '/') AS selector_form,
   regexp_replace(lower({net()}), '^www\\.', '') || rtrim({path()}, '/') AS story_key,
   {sha6('url')} AS id, {i(real_url())} AS real_url, {i(f"rtrim({path()}, '/') = ''")} AS homepage FROM pages"""
-ORACLE["url_id_collisions"] = f"""SELECT 'all' AS edition_date, substring(sha1(url), 1, 2) AS id,
+ORACLE["url_id_collisions"] = f"""SELECT 'all' AS edition_date, {sha6('url')} AS id,
   count(DISTINCT {PAGE_CANON}) AS urls FROM pages GROUP BY 2 HAVING count(DISTINCT {PAGE_CANON}) > 1"""
 _UNESC = ("regexp_replace(replace(replace(replace({e}, '&copy;', '©'), '&middot;', '·'), '&quot;', '\"'), "
           "'&amp;?', '&', 'g')")
@@ -428,9 +428,16 @@ ORACLE["first_duplicates"] = f"""WITH {_SIG}, p AS (SELECT a.edition_date, a.seq
 
 # --- history -----------------------------------------------------------------------------------
 
-_ED = """, ed AS (SELECT CAST(edition_date - 1 AS DATE) AS edition_date, n AS number, category, source, title AS headline, snippet AS summary,
-   url AS originalURL, canonical_url, paywalled, seq, 'https://img.example.com/' || (seq % 7) || '.jpg' AS imageURL FROM (
-   SELECT *, row_number() OVER (PARTITION BY edition_date ORDER BY seq) AS n FROM candidates) WHERE n <= 5),
+
+
+def sliced(size):
+    """Candidates cut into days of ``size``, each next one some days earlier; ``n`` numbers a day's rows."""
+    return (f"(SELECT * REPLACE (CAST(edition_date - CAST({DATES} * (rn // {size}) AS INTEGER) AS DATE) AS edition_date), "
+            f"rn % {size} + 1 AS n FROM (SELECT *, row_number() OVER (PARTITION BY edition_date ORDER BY seq) - 1 AS rn FROM candidates))")
+
+
+_ED = f""", ed AS (SELECT CAST(edition_date - 1 AS DATE) AS edition_date, n AS number, category, source, title AS headline, snippet AS summary,
+   url AS originalURL, canonical_url, paywalled, seq, 'https://img.example.com/' || (seq % 7) || '.jpg' AS imageURL FROM {sliced(5)}),
  dts AS (SELECT DISTINCT edition_date AS d FROM candidates), eds AS (SELECT DISTINCT edition_date AS d FROM ed),
  rec AS (SELECT dts.d AS edition_date, eds.d AS prior_date, row_number() OVER (PARTITION BY dts.d ORDER BY eds.d DESC) AS rank
    FROM dts JOIN eds ON eds.d < dts.d)"""
@@ -463,9 +470,10 @@ ORACLE["recent_repeats"] = f"""WITH {_RPT} SELECT c.seq, coalesce(b.rule, '') AS
   FROM candidates c LEFT JOIN best b ON b.seq = c.seq AND b.rn = 1"""
 ORACLE["image_cooldowns"] = f"""WITH {CANDIDATES_SQL}{_ED} SELECT DISTINCT CAST(r.edition_date AS VARCHAR) AS edition_date, imageURL FROM rec r
   JOIN ed ON ed.edition_date = r.prior_date WHERE rank <= 4"""
-ORACLE["image_reuse"] = f"""WITH {CANDIDATES_SQL}{_ED}, top AS (SELECT max(edition_date) AS d FROM ed)
+ORACLE["image_reuse"] = f"""WITH {CANDIDATES_SQL}{_ED}, top AS (SELECT max(edition_date) AS d FROM ed),
+  last AS (SELECT DISTINCT edition_date FROM ed, top WHERE edition_date < d ORDER BY edition_date DESC LIMIT 90)
   SELECT CAST(edition_date AS VARCHAR) AS key, 'signal ' || number AS field, 'reuses an imageURL from the last 90 editions: ' || imageURL AS message
-  FROM ed, top WHERE edition_date = d AND imageURL IN (SELECT imageURL FROM ed, top WHERE edition_date < d)"""
+  FROM ed, top WHERE edition_date = d AND imageURL IN (SELECT imageURL FROM ed JOIN last USING (edition_date))"""
 
 # --- editions ----------------------------------------------------------------------------------
 
@@ -481,9 +489,9 @@ _EXID = f", ex AS (SELECT DISTINCT CAST(edition_date + 1 AS DATE) AS d, {sha6('c
 _ISX = "EXISTS (SELECT 1 FROM ex WHERE ex.d = c.edition_date AND ex.x = c.id)"
 ORACLE["excluded_candidates"] = f"WITH {CANDIDATES_SQL}{_ED}{_EXID} SELECT {D}, seq, id FROM candidates c WHERE {_ISX}"
 ORACLE["kept_candidates"] = f"WITH {CANDIDATES_SQL}{_ED}{_EXID} SELECT {D}, count(*) AS kept FROM candidates c WHERE NOT {_ISX} GROUP BY ALL"
-_SEL = f"""{CANDIDATES_SQL}, sel AS (SELECT edition_date, n AS number, CASE WHEN seq % 9 = 4 THEN 'unseen' ELSE id END AS id FROM (
-   SELECT *, row_number() OVER (PARTITION BY edition_date ORDER BY seq) AS n FROM candidates) WHERE n <= 5),
- rs AS (SELECT s.edition_date, s.number, s.id, c.seq, c.url, c.paywalled, c.category FROM sel s LEFT JOIN candidates c
+_SEL = f"""{CANDIDATES_SQL}, days AS {sliced(8)},
+ sel AS (SELECT edition_date, n AS number, CASE WHEN seq % 9 = 4 THEN 'unseen' ELSE id END AS id FROM days WHERE n <= 5),
+ rs AS (SELECT s.edition_date, s.number, s.id, c.seq, c.url, c.paywalled, c.category FROM sel s LEFT JOIN days c
    ON c.edition_date = s.edition_date AND c.id = s.id),
  gr AS (SELECT edition_date, count(*) FILTER (number = 1) AS leads, count(*) FILTER (number <> 1) AS others, count(DISTINCT id) AS ids,
    count(DISTINCT category) AS cats FROM rs GROUP BY ALL)"""
@@ -577,9 +585,17 @@ _FIELDS = """fields AS (SELECT edition_date, number, field, trim(v) AS v FROM (
    SELECT edition_date, number, 'summary' AS field, summary AS v FROM ed UNION ALL SELECT edition_date, number, 'whyItMatters', summary FROM ed
    UNION ALL SELECT edition_date, number, 'keyTakeaways[0]', headline FROM ed UNION ALL SELECT edition_date, number, 'keyTakeaways[1]', summary FROM ed))"""
 _GLUE = f"{headline_key('headline')} <> '' AND {headline_key('summary')} <> {headline_key('headline')} AND starts_with({headline_key('summary')}, {headline_key('headline')} || ' ')"
-ORACLE["prose_gate"] = f"""WITH {CANDIDATES_SQL}{_ED}, {_FIELDS}, ff AS (SELECT *, {fold('v')} AS f FROM fields WHERE v <> '' AND edition_date >= DATE '2026-07-11') """ + " UNION ALL ".join(
-    f"SELECT {_KEY}, 'prose' AS rule, 'signal ' || number || ' ' || field AS field, {q(m)} AS message FROM ff WHERE {c}" for c, m in _publish("v", "f")) + (
-    f" UNION ALL SELECT {_KEY}, 'prose', 'signal ' || number || ' summary', 'begins with the headline glued to body text' FROM ed WHERE {_GLUE}")
+
+
+def prose_gate(editions):
+    """Prose rules and the glued headline, both only since the gate exists."""
+    return f"""WITH {CANDIDATES_SQL}{editions}, {_FIELDS}, ff AS (SELECT *, {fold('v')} AS f FROM fields WHERE v <> '' AND edition_date >= DATE '2026-07-11') """ + " UNION ALL ".join(
+        f"SELECT {_KEY}, 'prose' AS rule, 'signal ' || number || ' ' || field AS field, {q(m)} AS message FROM ff WHERE {c}" for c, m in _publish("v", "f")) + (
+        f" UNION ALL SELECT {_KEY}, 'prose', 'signal ' || number || ' summary', 'begins with the headline glued to body text' FROM ed WHERE edition_date >= DATE '2026-07-11' AND {_GLUE}")
+
+
+ORACLE["prose_gate"] = prose_gate(_ED)
+ORACLE["prose_gate_later"] = prose_gate(_ED.replace("ed AS (SELECT CAST(edition_date - 1 AS DATE)", "ed AS (SELECT CAST(DATE '2026-08-20' + CAST(DATE '2026-08-20' - edition_date + 1 AS INTEGER) AS DATE)"))
 _TIER = "CASE WHEN number = 2 THEN 9 ELSE number END"
 ORACLE["edition_structure"] = f"""WITH {CANDIDATES_SQL}{_ED}, n AS (SELECT edition_date, count(*) AS n FROM ed GROUP BY ALL)
  SELECT {_KEY}, 'importance' AS rule, 'signal ' || number AS field, 'importance not in 1..5' AS message FROM ed WHERE {_TIER} > 5

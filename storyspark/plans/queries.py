@@ -42,13 +42,21 @@ def flag(c):
 
 # --- derived tables ----------------------------------------------------------------------------
 
+def sliced(candidates, size: int) -> DataFrame:
+    """Candidates cut into days of ``size`` in their order, each next one ``I.DATES`` days earlier; with ``number``."""
+    at = F.row_number().over(Window.partitionBy(DATE).orderBy("seq")) - 1
+    rows = candidates.withColumn("_at", at)
+    return rows.withColumns({"number": F.col("_at") % size + 1, DATE: F.date_sub(
+        DATE, (F.floor(F.col("_at") / size) * I.DATES).cast("int"))}).drop("_at")
+
+
 @I.derived
 def editions(spark, sf) -> DataFrame:
-    """Past editions: the first five candidates of each date, dated one day earlier."""
-    w = Window.partitionBy(DATE).orderBy("seq")
-    rows = I.candidates(spark, sf).withColumn("number", F.row_number().over(w)).filter("number <= 5")
+    """Past editions: the candidates of a date, five by five; the first five ran on the day before it and
+    every next five ``I.DATES`` days earlier, so each candidate is in one edition."""
+    rows = sliced(I.candidates(spark, sf), 5)
     return rows.select(
-        F.date_sub(DATE, 1).alias(DATE), F.col("number").cast("int"),
+        F.date_sub(DATE, F.lit(1)).alias(DATE), F.col("number").cast("int"),
         F.col("number").cast("int").alias("importance"), (F.col("number") == 1).alias("lead"),
         "category", "source", F.col("title").alias("headline"), F.col("snippet").alias("summary"),
         F.array("title", "snippet").alias("keyTakeaways"),
@@ -104,7 +112,7 @@ def url_forms(spark, sf):
 @register
 def url_id_collisions(spark, sf):
     p = I.read(spark, sf, "pages").select(
-        F.lit("all").alias(DATE), F.substring(urls.stable_id("url"), 1, 2).alias("id"),
+        F.lit("all").alias(DATE), urls.stable_id("url").alias("id"),
         urls.canonical_url("url").alias("canonical_url"))
     return G.id_collisions(p)
 
@@ -453,11 +461,11 @@ def kept_candidates(spark, sf):
 
 @register
 def manual_selection(spark, sf):
-    w = Window.partitionBy(DATE).orderBy("seq")
-    chosen = I.candidates(spark, sf).withColumn("number", F.row_number().over(w)).filter("number <= 5")
-    sel = chosen.select(DATE, "number", F.when(F.col("seq") % 9 == 4, F.lit("unseen")).otherwise(
+    """Days of eight candidates each; the first five of a day are chosen."""
+    days = sliced(I.candidates(spark, sf), 8)
+    sel = days.filter("number <= 5").select(DATE, "number", F.when(F.col("seq") % 9 == 4, F.lit("unseen")).otherwise(
         F.col("id")).alias("id"))
-    return E.check_selection(sel, I.candidates(spark, sf)).select("key", "rule", "field", "message")
+    return E.check_selection(sel, days.drop("number")).select("key", "rule", "field", "message")
 
 
 @register
@@ -603,6 +611,14 @@ def prose_gate(spark, sf):
     return Q.validate_prose(editions(spark, sf))
 
 
+@register
+def prose_gate_later(spark, sf):
+    """The same editions in the opposite order after a fixed day, so the gate covers every one of them."""
+    turn = F.lit("2026-08-20").cast("date")
+    later = F.date_add(turn, F.datediff(turn, F.col(DATE)))
+    return Q.validate_prose(editions(spark, sf).withColumn(DATE, later))
+
+
 @register
 def edition_structure(spark, sf):
     e = editions(spark, sf)
