@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .. import vocab as V
 from . import names, times
 from .mixes import canonical_topics, normalize_regions
-from .rules import all_labels, col, first_label, hits, in_list, str_array, text
+from .rules import all_labels, col, first_label, folded, hits, in_list, screened, str_array, text
 from .text import jaccard, py_strip
 
 
@@ -60,16 +60,16 @@ def consumer_launch(title, snippet, reliability, published_at, now) -> Column:
     if published_at is not None and now is not None:
         fresh = F.coalesce(times.hours_old(published_at, now) <= V.LAUNCH_FRESH_HOURS, F.lit(True))
     credible = F.lit(True) if reliability is None else (text(reliability) != "low")
-    return (~hits(b, V.LAUNCH_EXCLUDE) & ~hits(title, V.ACCESSORY) & hits(title, V.LAUNCH_VERB)
-            & hits(b, V.CONSUMER_PRODUCT) & credible & fresh)
+    return (credible & fresh & hits(title, V.LAUNCH_VERB) & ~hits(title, V.ACCESSORY)
+            & screened(b, lambda t, low: hits(t, V.CONSUMER_PRODUCT, low) & ~hits(t, V.LAUNCH_EXCLUDE, low)))
 
 
-def _event_family(b: Column) -> Column:
+def _event_family(b: Column, low: Column) -> Column:
     out = None
     for family, pattern in V.EVENT_FAMILIES:
-        cond = hits(b, pattern)
+        cond = hits(b, pattern, low)
         if family == "science_discovery":
-            cond = cond & ~hits(b, V.CRISIS)
+            cond = cond & ~hits(b, V.CRISIS, low)
         out = F.when(cond, F.lit(family)) if out is None else out.when(cond, F.lit(family))
     return out.otherwise(F.lit("other"))
 
@@ -82,28 +82,28 @@ def with_story_metadata(df: DataFrame, title="title", snippet="snippet", reliabi
     """
     country = first_label(F.col("_b"), [(rx, f"{c}|{r}") for r, c, rx in V.COUNTRIES])
     family = F.col("_f")
-    crisis = hits(F.col("_b"), V.CRISIS)
+    crisis = hits(F.col("_b"), V.CRISIS, F.col("_low"))
     quiet = in_list(family, ["science_discovery", "health_breakthrough", "consumer_launch"])
     discovery = in_list(family, ["science_discovery", "health_breakthrough"])
     tone = (F.when(family == "conflict", F.lit("negative_conflict"))
             .when((family == "disaster") | (crisis & ~quiet), F.lit("negative_crisis"))
             .when(discovery, F.lit("discovery"))
-            .when((family == "consumer_launch") | hits(F.col("_b"), V.FORWARD),
+            .when((family == "consumer_launch") | hits(F.col("_b"), V.FORWARD, F.col("_low")),
                   F.lit("forward_looking"))
             .otherwise(F.lit("neutral")))
     return (df.withColumns({
-                "_b": blob(title, snippet),
+                "_b": blob(title, snippet), "_low": folded(blob(title, snippet)),
                 "_l": consumer_launch(title, snippet, reliability, published_at, now)})
             .withColumns({
                 "_c": country,
                 "_f": F.when(F.col("_l"), F.lit("consumer_launch"))
-                       .otherwise(_event_family(F.col("_b")))})
+                       .otherwise(_event_family(F.col("_b"), F.col("_low")))})
             .withColumn(out, F.struct(
                 F.substring_index("_c", "|", 1).alias("country"),
                 F.substring_index("_c", "|", -1).alias("region"),
                 family.alias("event_family"), tone.alias("tone"),
                 F.col("_l").alias("consumer_launch"), discovery.alias("discovery_value")))
-            .drop("_b", "_l", "_c", "_f"))
+            .drop("_b", "_low", "_l", "_c", "_f"))
 
 
 def with_story_identity(df: DataFrame, title="title", snippet="snippet", meta="mm",
@@ -143,8 +143,8 @@ def classify_regions(title, summary, metadata=None, structured=None) -> Column:
         def found(field, value):
             if value is None:
                 return F.array().cast("array<string>")
-            return F.array_compact(F.array(*[F.when(hits(value, rx), F.lit(f"{label}:{field}"))
-                                             for label, rx in V.REGION_RULES[region]]))
+            return screened(value, lambda t, low: F.array_compact(F.array(*[
+                F.when(hits(t, rx, low), F.lit(f"{label}:{field}")) for label, rx in V.REGION_RULES[region]])))
         in_title, in_sum = found("title", title), found("summary", summary)
         in_meta = found("metadata", metadata)
         evidence = F.concat(in_title, in_sum, in_meta)

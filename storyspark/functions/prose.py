@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import vocab as V
 from . import text as T
-from .rules import hits, hits_cs, in_list, text
+from .rules import folded, hits, hits_cs, in_list, let, text
 
 
 def _issues(*pairs) -> Column:
@@ -26,16 +26,16 @@ def facts(s, screened=None) -> Column:
     """
     unknown = F.lit(True) if screened is None else ~screened
     words = F.regexp_extract_all(s, F.lit(T.PROSE_WORD), F.lit(0))
-    return F.struct(
+    return let(folded(s), lambda low: F.struct(
         s.alias("s"), F.size(words).alias("n"), T.starts_upper(s).alias("upper"),
         T.starts_quote(s).alias("quote"), hits_cs(s, V.SENTENCE_END_CS).alias("ends"),
         T.ends_cut(s).alias("cut"), in_list(F.lower(F.coalesce(
             F.get(words, F.size(words) - 1), F.lit(""))), V.DANGLING_END).alias("dangling"),
-        hits_cs(s, V.COMPOUND_DANGLE_CS).alias("compound"),
-        hits_cs(s, V.ABBREVIATION_END_CS).alias("abbrev"),
-        hits(s, V.CONNECTIVE_OPEN).alias("connective"), T.is_roundup(s).alias("roundup"),
-        T.unbalanced(s).alias("unbalanced"), (unknown & T.is_caption(s)).alias("caption"),
-        (unknown & T.is_metadata(s)).alias("metadata"))
+        hits_cs(s, V.COMPOUND_DANGLE_CS, low).alias("compound"),
+        hits_cs(s, V.ABBREVIATION_END_CS, low).alias("abbrev"),
+        hits(s, V.CONNECTIVE_OPEN, low).alias("connective"), T.is_roundup(s, low).alias("roundup"),
+        T.unbalanced(s).alias("unbalanced"), (unknown & T.is_caption(s, low)).alias("caption"),
+        (unknown & T.is_metadata(s, low)).alias("metadata")))
 
 
 def _summary_rules(f: Column):
@@ -81,11 +81,6 @@ def _any(rules) -> Column:
     return out
 
 
-def let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and use it in ``body``, also inside array lambdas."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def summary_issues(summary) -> Column:
     """Everything wrong with a summary; empty when it is fit to publish."""
     return let(facts(_strip(summary)), lambda f: _issues(*_summary_rules(f)))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from .. import vocab as V
-from .rules import contains_any, hits, hits_cs, str_array, text
+from .rules import contains_any, folded, hits, hits_cs, let, str_array, text
 
 WORD = r"[A-Za-z0-9'$%.\-]+"
 PROSE_WORD = r"[A-Za-z0-9']+"
@@ -106,16 +106,17 @@ def trunc(s, n: int) -> Column:
 
 # --- sentence predicates -----------------------------------------------------------------------
 
-def is_caption(s) -> Column:
-    """Photo caption or scene description."""
-    return (hits(s, V.CAPTION_LEAD) | hits(s, V.CAPTION_CUE) | hits(s, V.CAPTION_SCENE)
-            | hits(s, V.CAPTION_VERB) | hits(s, V.CAPTION_MEDIA))
+def is_caption(s, low: Column | None = None) -> Column:
+    """Photo caption or scene description; ``low`` is the ``folded`` text."""
+    return (hits(s, V.CAPTION_LEAD, low) | hits(s, V.CAPTION_CUE, low) | hits(s, V.CAPTION_SCENE, low)
+            | hits(s, V.CAPTION_VERB, low) | hits(s, V.CAPTION_MEDIA, low))
 
 
-def is_metadata(s) -> Column:
+def is_metadata(s, low: Column | None = None) -> Column:
     """Author biography, publication metadata, photo credit or stitched quote."""
-    return (hits(s, V.METADATA_BIO) | hits(s, V.METADATA_CAPTION) | hits(s, V.STITCHED_QUOTE)
-            | hits(s, V.BIO_JOINED) | hits_cs(s, V.BIO_YEARS_AT_CS))
+    return (hits(s, V.METADATA_BIO, low) | hits(s, V.METADATA_CAPTION, low)
+            | hits(s, V.STITCHED_QUOTE, low) | hits(s, V.BIO_JOINED, low)
+            | hits_cs(s, V.BIO_YEARS_AT_CS, low))
 
 
 def occurrences(s, needle: str) -> Column:
@@ -123,9 +124,9 @@ def occurrences(s, needle: str) -> Column:
             / len(needle))
 
 
-def is_roundup(s) -> Column:
+def is_roundup(s, low: Column | None = None) -> Column:
     """Newsletter contents line or a semicolon list of topics."""
-    return hits(s, V.ROUNDUP_LINE) | (occurrences(s, ";") >= 2)
+    return hits(s, V.ROUNDUP_LINE, low) | (occurrences(s, ";") >= 2)
 
 
 def starts_upper(s) -> Column:
@@ -169,16 +170,15 @@ SENTENCE_BREAK = (r"(?U)(?<=[.!?])(?<!\b[A-Za-z]\.[A-Za-z]\.)(?<!\b(?:" + _TITLE
                   r"|\n+")
 
 
-def _bad_sentence(s: Column, brand: Column) -> Column:
-    low = F.lower(s)
+def _bad_sentence(s: Column, low: Column, fold: Column, brand: Column) -> Column:
     words = F.size(F.split(s, " "))
     brand_twice = (brand != "") & (
         F.length(low) - F.length(F.replace(low, brand, F.lit(""))) >= 2 * F.length(brand))
     return ((s == "") | (words < 6) | (words > 60)
             | ~s.rlike("[.!?][\"')”]?$") | ~s.rlike("[a-z]")
             | ends_cut(s) | contains_any(low, V.BOILERPLATE)
-            | hits(s, V.BYLINE) | hits(s, V.AUTHOR_BIO) | hits(s, V.AFFILIATE)
-            | hits(s, V.CREDIT_END) | brand_twice | is_caption(s) | is_metadata(s))
+            | hits(s, V.BYLINE, fold) | hits(s, V.AUTHOR_BIO, fold) | hits(s, V.AFFILIATE, fold)
+            | hits(s, V.CREDIT_END, fold) | brand_twice | is_caption(s, fold) | is_metadata(s, fold))
 
 
 def clean_sentences(decoded, brand) -> Column:
@@ -189,7 +189,9 @@ def clean_sentences(decoded, brand) -> Column:
     raw = F.split(F.replace(text(decoded), F.lit("\u00a0"), F.lit(" ")), SENTENCE_BREAK)
     tidy = F.transform(raw, lambda s: F.regexp_replace(
         F.trim(F.regexp_replace(s, r"(?U)\s+", " ")), r"\s+([,.;:!?])", "$1"))
-    return F.array_distinct(F.filter(tidy, lambda s: ~_bad_sentence(s, text(brand))))
+    return F.array_distinct(F.filter(tidy, lambda s: ~let(
+        F.struct(F.lower(s).alias("low"), folded(s).alias("fold")),
+        lambda v: _bad_sentence(s, v["low"], v["fold"], text(brand)))))
 
 
 def strip_headline(s: Column, headline) -> Column:

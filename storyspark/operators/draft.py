@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import vocab as V
 from ..functions import names, prose as P, text as T, urls
-from ..functions.rules import hits, in_list, str_array, text
+from ..functions.rules import folded, hits, in_list, str_array, text
 from ..functions.prose import let
 from .violations import each, rule, union, violations
 
@@ -117,7 +117,7 @@ def sentence_table(clean: Column, headline: Column, screened: Column) -> Column:
             F.size(F.array_intersect(x["w"], hk)).alias("score"),
             P.bad_summary(x["f"]).alias("bad"), P.bad_why(x["f"]).alias("bad_why"),
             P.good_bullet(x["f"]).alias("bullet"),
-            P.repeats_headline(x["w"], hk).alias("echo"), hits(s, V.STAKES).alias("stakes")))
+            P.repeats_headline(x["w"], hk).alias("echo"), hits(s, V.STAKES, folded(s)).alias("stakes")))
 
     return let(F.struct(clean.alias("c"), T.keywords(headline).alias("hk"), screened.alias("ok")),
                lambda v: F.transform(v["c"], lambda s, i: row(s, i, v["hk"], v["ok"])))
