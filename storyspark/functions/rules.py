@@ -102,7 +102,7 @@ def all_labels(c, rules) -> Column:
 
 def contains_any(c, phrases) -> Column:
     """True when any literal phrase occurs in the (already lower-cased) column."""
-    return reduce(or_, [F.contains(text(c), F.lit(p)) for p in phrases])
+    return F.coalesce(reduce(or_, [F.contains(col(c), F.lit(p)) for p in phrases]), F.lit(False))
 
 
 def in_list(c, values) -> Column:
