@@ -125,14 +125,16 @@ def _columns(size: int) -> tuple[Column, Column, Column, Column]:
 
 
 def _round(pool: DataFrame, state: DataFrame, columns) -> DataFrame:
+    """One greedy step of every mix: only rows that offer something, without the mix's own columns, are
+    aggregated, and their best is joined to the state."""
     positions, phase, key, offer = columns
-    offers = (state.join(pool.withColumnRenamed("topics", "topics_c"), DATE, "left")
-              .withColumn("pos", positions).withColumn("_p", phase).withColumn("_k", key))
-    best = offers.groupBy(DATE, "mix_id").agg(
-        *[F.any_value(c).alias(c) for c in ("regions", "topics", "order", "quota", "chosen")],
-        F.min(offer).alias("won"))
-    return best.withColumn("chosen", F.when(F.col("won").isNull(), F.col("chosen")).otherwise(
-        F.concat("chosen", F.array("won.story")))).drop("won")
+    offers = (state.join(pool.withColumnRenamed("topics", "topics_c"), DATE)
+              .withColumn("pos", positions).withColumn("_p", phase).filter(F.col("_p").isNotNull())
+              .withColumn("_k", key).select(DATE, "mix_id", offer.alias("_offer")))
+    best = offers.groupBy(DATE, "mix_id").agg(F.min("_offer").alias("won"))
+    return state.join(best, [DATE, "mix_id"], "left").withColumn(
+        "chosen", F.when(F.col("won").isNull(), F.col("chosen")).otherwise(
+            F.concat("chosen", F.array("won.story")))).drop("won")
 
 
 def _phase_name(p: Column) -> Column:
@@ -200,7 +202,8 @@ def select_mix(pool: DataFrame, mixes: DataFrame, size: int = V.STORY_COUNT) ->
     none = F.array().cast(f"array<{_MEMBER}>")
     left = mixes.select(DATE, "mix_id", "regions", "topics",
                         M.priority_regions("regions").alias("order"),
-                        M.quotas("regions", size).alias("quota"), none.alias("chosen"))
+                        M.quotas("regions", size).alias("quota"), none.alias("chosen")
+                        ).dropDuplicates([DATE, "mix_id"])
     columns, depth, settled = _columns(size), HEADS, None
     behind = F.exists("chosen", lambda s: s["id"] == "")
     while True:
