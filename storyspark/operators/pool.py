@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from .. import vocab as V
 from ..functions import classify as C, mixes as M, numbers as N, text as T, times, urls
 from ..functions.rules import in_list, str_array, text
+from ..session import written
 from . import scoring as S
 from .violations import each, repeated, rule, union, violations
 
@@ -67,8 +68,11 @@ POOL_COLUMNS = [DATE, "id", "headline", "summary", "source", "url", "published_a
 
 
 def freeze_pool(pool: DataFrame) -> DataFrame:
-    """Closed column set in canonical order: sorted arrays, rows sorted by id within a date."""
-    return pool.withColumns({
+    """Closed column set in canonical order: sorted arrays, rows sorted by id within a date.
+
+    Dealing out by range reads its input twice, once for the ranges, so the rows are worked out before it.
+    """
+    return written(pool, "unsorted").withColumns({
         "topics": F.array_sort("topics"),
         "memberships": F.array_sort(F.transform("memberships", lambda m: F.struct(
             m["id"].alias("id"), m["strength"].alias("strength"),
@@ -170,7 +174,8 @@ def pool_manifest(pool: DataFrame, cands: DataFrame, generated_at: Column, sourc
 
 
 def validate_pool(pool: DataFrame) -> DataFrame:
-    """Raw pool contract over typed rows."""
+    """Raw pool contract over typed rows (V10); three checks read the rows, which are worked out once."""
+    pool = written(pool, "checked")
     at = F.concat(F.lit("candidates["), F.col("id"), F.lit("]"))
 
     def where(field):
