@@ -12,6 +12,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Texts are large rows: a Python worker holds a batch several times over.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
 }
 
 
@@ -25,7 +27,7 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the settings results depend on (UTC) and the adaptive ones plans rely on."""
+    """Apply the settings results depend on (UTC), the adaptive ones plans rely on and the size of Arrow batches."""
     for key, value in DEFAULTS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
