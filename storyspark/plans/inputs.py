@@ -79,7 +79,8 @@ def _pick(values, index: Column) -> Column:
 
 
 def _words(c, start: int, n: int) -> Column:
-    return F.array_join(F.slice(F.split(c, r"\s+"), start, n), " ")
+    # The last part of a limited split is the rest of the text.
+    return F.array_join(F.slice(F.split(c, r"\s+", start + n), start, n), " ")
 
 
 def raw_items(spark: SparkSession, sf: str) -> DataFrame:
