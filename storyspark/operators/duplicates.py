@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import classify as C, urls
 from ..functions.rules import text
+from ..session import written
 
 DATE = "edition_date"
+#: Fingerprints of a group that meet all others in the first round of ``first_duplicate_pair``.
+HEADS = 64
 _ORDER = ["underlying-identity", "canonical-url", "topic-fingerprint", *C.SAME_STORY_RULES]
 
 
@@ -65,8 +68,37 @@ def duplicate_pairs(df: DataFrame, keys=(DATE,), fingerprints: bool = True,
 
 
 def first_duplicate_pair(df: DataFrame, keys=(DATE,)) -> DataFrame:
-    """The first overlapping fingerprint pair per group, in (src, dst) order."""
-    keys = list(keys)
-    pairs = duplicate_pairs(df, keys).filter(F.col("rule") == "topic-fingerprint")
-    first = pairs.groupBy(*keys).agg(F.min(F.struct("src", "dst")).alias("p"))
-    return first.select(*keys, F.col("p.src").alias("src"), F.col("p.dst").alias("dst"))
+    """The first overlapping fingerprint pair per group, in (src, dst) order.
+
+    Equal fingerprints become one row with their first two places.  The first ``HEADS`` of a group meet all
+    of the group; only a group without a pair among these goes on with the next ones, four times as many.
+    """
+    keys, heads, found = list(keys), HEADS, []
+    places = df.filter((F.size("fp") > 0) & F.col("seq").isNotNull()).dropna(subset=keys).select(
+        *keys, "fp", "seq").distinct()
+    nth = F.row_number().over(Window.partitionBy(*keys, "fp").orderBy("seq"))
+    rows = written(places.withColumn("_n", nth).filter("_n <= 2").groupBy(*keys, "fp").agg(
+        F.min("seq").alias("m"), F.max(F.when(F.col("_n") == 2, F.col("seq"))).alias("n")), "fingerprints")
+    while True:
+        # Rows of the same place stay together, so a pair left for later never comes before a found one.
+        place = F.rank().over(Window.partitionBy(*keys).orderBy("m"))
+        first = written(rows.withColumn("_r", place).filter(F.col("_r") <= heads).drop("_r"), "heads")
+        a, b = F.col("a"), F.col("b")
+        dst = (F.when(a["fp"] == b["fp"], a["n"]).when(a["m"] < b["m"], b["m"])
+               .otherwise(F.least(a["n"], b["n"])))
+        met = (first.select(*keys, F.struct("m", "fp", "n").alias("a"))
+               .join(rows.select(*keys, F.struct("m", "fp", "n").alias("b")), keys)
+               .filter((F.struct(a["m"], a["fp"]) <= F.struct(b["m"], b["fp"])) & dst.isNotNull()
+                       & C.fingerprint_overlap(a["fp"], b["fp"])))
+        found.append(written(met.groupBy(*keys).agg(F.min(F.struct(a["m"].alias("src"), dst.alias("dst"))).alias(
+            "p")), "pairs"))
+        last = first.groupBy(*keys).agg(F.max("m").alias("_last"))
+        rows = written(rows.join(found[-1].select(*keys), keys, "left_anti").join(last, keys).filter(
+            F.col("m") > F.col("_last")).drop("_last"), "fingerprints")
+        if rows.isEmpty():
+            break
+        heads *= 4
+    every = found[0]
+    for part in found[1:]:
+        every = every.unionByName(part)
+    return every.select(*keys, F.col("p.src").alias("src"), F.col("p.dst").alias("dst"))

@@ -1,6 +1,7 @@
 """What keeps the row work of large tables small: screened patterns, rows worked out once, small batches."""
 
 import datetime as dt
+import random
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from storyspark import vocab as V
 from storyspark.functions import numbers as N
 from storyspark.functions.rules import folded, hits, needles
-from storyspark.operators import mix as X, pool as PO
+from storyspark.operators import duplicates as DU, mix as X, pool as PO
 from storyspark.plans import inputs as I
 from storyspark.session import prepare
 
@@ -84,3 +85,32 @@ def test_words_of_a_title_need_not_split_the_text(spark):
     got = df.select(I._words("t", 1, 4).alias("w"))
     assert [r.w for r in got.collect()] == [" a b c", "a b", ""]
     assert ", 5)" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_first_duplicates_without_all_pairs(spark, monkeypatch):
+    rng, labels = random.Random(5), [label for _, label in V.FINGERPRINT]
+    rows = [(d, rng.sample(labels, rng.choice([0, 1, 1, 2, 3])), str(i), rng.choice([None, *range(60)])) for d in ("a", "b", None) for i in range(70)]
+    # No two of a group's fingerprints overlap before the last ones, which go through several rounds.
+    rows += [("c", [label], "", i) for i, label in enumerate(labels)] + [("c", [labels[-1]], "x", 40), ("c", [labels[-3]], "x", 39)]
+    rows += [("d", [label], "", 1) for label in labels] + [("e", [labels[0]], str(i), 7) for i in range(3)]
+    df = spark.createDataFrame([(d, sorted(fp), s, q) for d, fp, s, q in rows], "edition_date string, fp array<string>, sid string, seq int")
+    ents, themes = set(V.FINGERPRINT_ENTITIES), set(V.FINGERPRINT_THEMES)
+
+    def alike(x, y):
+        shared, union = set(x) & set(y), set(x) | set(y)
+        e, t = len(shared & ents), len(shared & themes)
+        return x and y and (e >= 2 or (e and t and 2 * len(shared) >= len(union)) or 10 * len(shared) >= 6 * len(union))
+
+    want = {}
+    for d, x, _, p in rows:
+        for g, y, _, q in rows:
+            if d and d == g and None not in (p, q) and p < q and alike(x, y):
+                want[d] = min(want.get(d, (p, q)), (p, q))
+
+    def never(*args, **kwargs):
+        raise AssertionError("builds every pair")
+
+    monkeypatch.setattr(DU, "duplicate_pairs", never)
+    monkeypatch.setattr(DU, "HEADS", 2)
+    got = {r.edition_date: (r.src, r.dst) for r in DU.first_duplicate_pair(df).collect()}
+    assert got == want and set(want) == {"a", "b", "c"}
