@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import vocab as V
 from ..functions import classify as C, text as T, urls
+from ..session import written
 
 DATE = "edition_date"
 
@@ -29,6 +30,12 @@ def recent_editions(targets: DataFrame, editions: DataFrame, n: int) -> DataFram
                                                        F.col("pos").alias("at")), "at").drop("at")
 
 
+def _looked_back_to(near: DataFrame, editions: DataFrame, *columns: str) -> DataFrame:
+    """The stories of editions that some target looks back to; written, so that only these are classified."""
+    days = near.select(F.col("prior_date").alias(DATE)).distinct()
+    return written(editions.select(DATE, *columns).join(days, DATE, "left_semi"), "recent")
+
+
 def consecutive_run(ranks: Column) -> Column:
     """Length of the run 1, 2, 3, ... at the start of a sorted rank array."""
     return F.aggregate(ranks, F.lit(0), lambda acc, r: F.when(r == acc + 1, r).otherwise(acc))
@@ -37,11 +44,12 @@ def consecutive_run(ranks: Column) -> Column:
 def history_pairs(targets: DataFrame, editions: DataFrame,
                   n: int = V.HISTORY_EDITIONS) -> DataFrame:
     """(edition_date, country, event_family, run, run_dates) with run > 0."""
-    told = C.with_story_metadata(editions, "headline", "summary").select(
+    near = written(recent_editions(targets, editions, n), "near")
+    told = C.with_story_metadata(_looked_back_to(near, editions, "headline", "summary"), "headline", "summary").select(
         F.col(DATE).alias("prior_date"), F.col("mm.country").alias("country"),
         F.col("mm.event_family").alias("event_family")).filter(
             F.col("country").isNotNull() & (F.col("event_family") != "other")).distinct()
-    ranks = recent_editions(targets, editions, n).join(told, "prior_date")
+    ranks = near.join(told, "prior_date")
     runs = ranks.groupBy(DATE, "country", "event_family").agg(
         F.array_sort(F.collect_set(F.struct("edition_rank", "prior_date"))).alias("hits"))
     run = consecutive_run(F.transform("hits", lambda h: h["edition_rank"].cast("int")))
@@ -66,13 +74,13 @@ def recent_stories(targets: DataFrame, editions: DataFrame,
 
     An edition is five stories by contract, so the array holds at most 5 n of them.
     """
-    told = C.with_story_identity(C.with_story_metadata(editions, "headline", "summary"),
-                                 "headline", "summary")
+    near = written(recent_editions(targets, editions, n), "near")
+    recent = _looked_back_to(near, editions, "number", "headline", "summary", "originalURL")
+    told = C.with_story_identity(C.with_story_metadata(recent, "headline", "summary"), "headline", "summary")
     stories = told.select(
         F.col(DATE).alias("prior_date"), "number", "headline",
         urls.story_url_key("originalURL").alias("url_key"),
         T.headline_key("headline").alias("headline_key"), "sid")
-    near = recent_editions(targets, editions, n)
     return near.join(stories, "prior_date").groupBy(DATE).agg(F.array_sort(F.collect_list(F.struct(
         "edition_rank", "number", "prior_date", "headline", "url_key", "headline_key", "sid"
     ).cast("struct<edition_rank:bigint,number:bigint,prior_date:date,headline:string,"

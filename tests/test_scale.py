@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from storyspark import vocab as V
 from storyspark.functions import numbers as N
 from storyspark.functions.rules import folded, hits, needles
-from storyspark.operators import duplicates as DU, mix as X, pool as PO
+from storyspark.operators import duplicates as DU, history as H, mix as X, pool as PO
 from storyspark.plans import inputs as I
 from storyspark.session import prepare
 
@@ -114,3 +114,24 @@ def test_first_duplicates_without_all_pairs(spark, monkeypatch):
     monkeypatch.setattr(DU, "HEADS", 2)
     got = {r.edition_date: (r.src, r.dst) for r in DU.first_duplicate_pair(df).collect()}
     assert got == want and set(want) == {"a", "b", "c"}
+
+
+def test_only_editions_looked_back_to_are_classified(spark, monkeypatch):
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def told(x):
+        calls.add(1)
+        return x
+
+    plain = H.C.with_story_metadata
+    monkeypatch.setattr(H.C, "with_story_metadata", lambda df, *a, **k: plain(df.withColumn("headline", told("headline")), *a, **k))
+    targets, spent = spark.createDataFrame([(dt.date(2026, 7, 19),)], "edition_date date"), []
+    for days in (6, 18):
+        rows = [(dt.date(2026, 7, 18) - dt.timedelta(days=i), 1, "Earthquake in Turkey", f"https://a.com/x/{i}") for i in range(days)]
+        eds = spark.createDataFrame(rows, "edition_date date, number int, headline string, originalURL string")
+        before = calls.value
+        pairs = H.history_pairs(targets, eds.withColumn("summary", F.lit("dozens dead"))).collect()
+        assert [(r.country, r.run, r.run_dates) for r in pairs] == [("Turkey", 3, ["2026-07-18", "2026-07-17", "2026-07-16"])]
+        spent.append(calls.value - before)
+    assert 0 < spent[0] == spent[1], "three editions count, however many there are"
