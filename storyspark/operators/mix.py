@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from .. import vocab as V
 from ..functions import classify as C, mixes as M, names, urls
 from ..functions.rules import in_list, text
-from ..session import written
+from ..session import dealt, written
 from .duplicates import duplicate_pairs
 from .similarity import leader_rounds
 
@@ -45,8 +45,8 @@ def normalize_requests(requests: DataFrame) -> DataFrame:
 
 
 def prepare(pool: DataFrame) -> DataFrame:
-    """Selector columns of a pool: one row per candidate."""
-    told = C.with_story_identity(C.with_story_metadata(pool, "headline", "summary"),
+    """Selector columns of a pool: one row per candidate, dealt out before they are classified."""
+    told = C.with_story_identity(C.with_story_metadata(dealt(pool), "headline", "summary"),
                                  "headline", "summary")
     return told.select(
         DATE, "id", "headline", F.lower(text("category")).alias("cat"), "category",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from .. import vocab as V
 from ..functions import classify as C, mixes as M, numbers as N, text as T, times, urls
 from ..functions.rules import in_list, str_array, text
-from ..session import written
+from ..session import dealt, written
 from . import scoring as S
 from .violations import each, repeated, rule, union, violations
 
@@ -34,10 +34,10 @@ def story_identity_text(canonical) -> Column:
 
 
 def build_pool(cands: DataFrame, fresh_hours: float = 36, stale_hours: float = 48) -> DataFrame:
-    """Pool rows plus ``exclusion_reason``; kept rows have it NULL."""
+    """Pool rows plus ``exclusion_reason``; kept rows have it NULL.  Rows are dealt out before they are classified."""
     canon = urls.pool_url(F.coalesce(F.when(text("canonical_url") != "", F.col("canonical_url")),
                                      F.col("url")))
-    based = cands.withColumn("canonical_url", canon).withColumn(
+    based = dealt(cands).withColumn("canonical_url", canon).withColumn(
         "id", F.when(text("id") != "", F.col("id")).otherwise(urls.stable_id("canonical_url")))
     scored = S.score_candidates(based, fresh_hours)
     members = F.transform(

@@ -22,6 +22,8 @@ DEFAULTS = {
 STATIC = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 
+#: Tasks a core that rows are dealt out to.
+TASKS = 3
 #: Removes the shuffle files of a job when it has ended.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -65,10 +67,19 @@ def written(df: DataFrame, label: str = "step") -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use every core for row-heavy work on a small file scan.
+    """Use every core for row-heavy work on a file scan.
 
-    A large scan has more splits than cores and is left alone; only one with fewer is dealt out.
-    Only for plain scans: asking a plan with shuffles for its partitions would run it.
+    A scan with several splits per core is left alone; others are dealt out, because a split without a row
+    group of its own is empty.  Only for plain scans: asking a plan with shuffles for its partitions would run it.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return dealt(df) if df.rdd.getNumPartitions() < TASKS * df.sparkSession.sparkContext.defaultParallelism else df
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """Deal rows out evenly, several tasks a core, before work that is heavy per row.
+
+    Joins and scans make few parts of small rows, as many as their bytes ask for.
+    """
+    spark = df.sparkSession
+    return df.repartition(max(TASKS * spark.sparkContext.defaultParallelism,
+                              int(spark.conf.get("spark.sql.shuffle.partitions"))))

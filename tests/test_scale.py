@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from storyspark import vocab as V
 from storyspark.functions import numbers as N
 from storyspark.functions.rules import folded, hits, needles
-from storyspark.operators import duplicates as DU, history as H, mix as X, pool as PO
+from storyspark.operators import duplicates as DU, history as H, mix as X, pool as PO, scoring as S
 from storyspark.plans import inputs as I
-from storyspark.session import prepare
+from storyspark.session import prepare, written
 
 TEXTS = ["The white house", "\u212aremlin \u017ftrike\u017f", "ME\u0130 ceasef\u0131re", "CEASEF\u0130RE now", "A m\u0131ss\u0131le, trade DEAL",
          "Dead and missing", "an \u00e9lection", "image made", "a dealer", "", None, "\u0421\u0430\u043d\u043a\u0446\u0438\u0438 \u65e5\u672c war", "collapse\u0301", "launche\u017f iPhone"]
@@ -135,3 +135,17 @@ def test_only_editions_looked_back_to_are_classified(spark, monkeypatch):
         assert [(r.country, r.run, r.run_dates) for r in pairs] == [("Turkey", 3, ["2026-07-18", "2026-07-17", "2026-07-16"])]
         spent.append(calls.value - before)
     assert 0 < spent[0] == spent[1], "three editions count, however many there are"
+
+
+def test_pool_rows_are_dealt_out_before_they_are_classified(spark):
+    """One file of small rows is one part; its rows reach every core before the rule ladders run."""
+    cores = spark.sparkContext.defaultParallelism
+    row = ("2026-07-20", "2026-07-20 09:00:00", 1, "a1", "Apple launches phone", "BBC News", "bbc", "TECH",
+           "https://e.com/a", "https://e.com/a", "2026-07-20 06:00:00", "x" * 150, False, "high", ["us"], 1, 1, 1)
+    kinds = ("date", "timestamp", "long", *["string"] * 7, "timestamp", "string", "boolean", "string",
+             "array<string>", "long", "long", "long")
+    given = spark.createDataFrame([row], S.CANDIDATE).select(
+        *[F.col(c).cast(k).alias(c) for c, k in zip(S.CANDIDATE, kinds)]).coalesce(1)
+    built = PO.build_pool(given)
+    assert built.rdd.getNumPartitions() >= cores
+    assert X.prepare(written(built, "one").coalesce(1)).rdd.getNumPartitions() >= cores
