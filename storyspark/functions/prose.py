@@ -35,7 +35,7 @@ def facts(s, screened=None) -> Column:
         hits_cs(s, V.ABBREVIATION_END_CS, low).alias("abbrev"),
         hits(s, V.CONNECTIVE_OPEN, low).alias("connective"), T.is_roundup(s, low).alias("roundup"),
         T.unbalanced(s).alias("unbalanced"), (unknown & T.is_caption(s, low)).alias("caption"),
-        (unknown & T.is_metadata(s, low)).alias("metadata")))
+        (unknown & T.is_metadata(s, low)).alias("metadata"), low.alias("low")))
 
 
 def _summary_rules(f: Column):
@@ -97,8 +97,11 @@ def bad_why(f: Column) -> Column:
 
 
 def repeats_headline(keywords: Column, headline_keywords: Column) -> Column:
-    return ((F.size(keywords) > 0)
-            & (F.size(F.array_intersect(keywords, headline_keywords)) / F.size(keywords) >= 0.85))
+    return mostly(F.size(F.array_intersect(keywords, headline_keywords)), F.size(keywords))
+
+
+def mostly(shared: Column, size: Column) -> Column:
+    return (size > 0) & (shared / size >= 0.85)
 
 
 def why_issues(why, summary, headline) -> Column:

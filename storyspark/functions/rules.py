@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import lru_cache, reduce
 from operator import or_
-from re import _constants as _op, _parser
+from re import _constants as _op, _parser, escape
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -61,6 +61,25 @@ def needles(pattern: str) -> tuple[str, ...]:
     return tuple(kept) if kept and len(kept[0]) > 1 else ()
 
 
+def _tree(words) -> str:
+    """A pattern for any of the words, with common beginnings written once."""
+    if "" in words:
+        return ""
+    by_first: dict[str, list[str]] = {}
+    for w in words:
+        by_first.setdefault(w[0], []).append(w[1:])
+    parts = [escape(c) + _tree(rest) for c, rest in sorted(by_first.items())]
+    return parts[0] if len(parts) == 1 else f"(?:{'|'.join(parts)})"
+
+
+def may_hit(low: Column, patterns, phrases=()) -> Column:
+    """False only where no pattern can match and no lower-case phrase occurs, from one search of the ``folded`` text."""
+    wanted = [needles(p) for p in patterns]
+    every = {*sum(wanted, ()), *phrases}
+    least = [w for w in every if not any(v != w and v in w for v in every)]
+    return low.rlike(_tree(least)) if all(wanted) else F.lit(True)
+
+
 def _search(c, pattern: str, flags: str, low: Column | None) -> Column:
     """Regex search; with ``low`` (``folded``) only where a literal of the pattern occurs, which is much faster."""
     found = text(c).rlike(flags + pattern)

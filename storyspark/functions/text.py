@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from .. import vocab as V
-from .rules import contains_any, folded, hits, hits_cs, let, str_array, text
+from .rules import contains_any, folded, hits, hits_cs, in_list, let, may_hit, str_array, text
 
 WORD = r"[A-Za-z0-9'$%.\-]+"
 PROSE_WORD = r"[A-Za-z0-9']+"
@@ -22,6 +22,12 @@ def unescape(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else (html.unescape(x) if "&" in x else x))
 
 
+def decoded(s) -> Column:
+    """``unescape`` that sends only texts with an entity to Python."""
+    t = text(s)
+    return F.coalesce(unescape(F.when(F.contains(t, F.lit("&")), t)), t)
+
+
 def clean_text(s) -> Column:
     """Tags removed, entities decoded, trimmed."""
     return py_strip(unescape(F.regexp_replace(text(s), "<[^>]+>", "")))
@@ -62,8 +68,7 @@ def title_tokens(title) -> Column:
 def keywords(s) -> Column:
     """Set of telling words of four or more characters."""
     words = F.regexp_extract_all(F.lower(text(s)), F.lit("[a-z0-9]{4,}"), F.lit(0))
-    return F.array_distinct(F.filter(
-        words, lambda w: ~F.array_contains(str_array(V.KEYWORD_STOPWORDS), w)))
+    return F.array_distinct(F.filter(words, lambda w: ~in_list(w, V.KEYWORD_STOPWORDS)))
 
 
 def headline_key(s) -> Column:
@@ -88,7 +93,11 @@ def word_count(s) -> Column:
 
 def read_time(s) -> Column:
     """Whole minutes at 200 words a minute, half-even, at least one."""
-    return F.greatest(F.lit(1), F.bround(word_count(s) / 200.0, 0).cast("int"))
+    return minutes(word_count(s))
+
+
+def minutes(words: Column) -> Column:
+    return F.greatest(F.lit(1), F.bround(words / 200.0, 0).cast("int"))
 
 
 def read_time_int(s) -> Column:
@@ -158,8 +167,8 @@ def unbalanced(s) -> Column:
     brackets = F.lit(False)
     for o, c in (("(", ")"), ("[", "]"), ("{", "}")):
         brackets = brackets | (occurrences(t, o) != occurrences(t, c))
-    return F.when(quotes, F.lit("unmatched quotation marks")).when(
-        brackets, F.lit("unmatched brackets/parentheses"))
+    return F.when(t.rlike(r'["“”()\[\]{}]'), F.when(quotes, F.lit("unmatched quotation marks")).when(
+        brackets, F.lit("unmatched brackets/parentheses")))
 
 
 # --- sentences ---------------------------------------------------------------------------------
@@ -170,17 +179,37 @@ SENTENCE_BREAK = (r"(?U)(?<=[.!?])(?<!\b[A-Za-z]\.[A-Za-z]\.)(?<!\b(?:" + _TITLE
                   r"|\n+")
 
 
-def _bad_sentence(s: Column, low: Column, fold: Column, brand: Column) -> Column:
-    words = F.size(F.split(s, " "))
+# Every pattern that marks a sentence as no body text.
+_MARKS = [V.BYLINE, V.AUTHOR_BIO, V.AFFILIATE, V.CREDIT_END, V.CAPTION_LEAD, V.CAPTION_CUE, V.CAPTION_SCENE,
+          V.CAPTION_VERB, V.CAPTION_MEDIA, V.METADATA_BIO, V.METADATA_CAPTION, V.STITCHED_QUOTE, V.BIO_JOINED,
+          V.BIO_YEARS_AT_CS]
+
+
+def _misshapen(s: Column) -> Column:
+    """Too short, too long, or without the form of a sentence."""
+    words = F.length(s) - F.length(F.replace(s, F.lit(" "), F.lit(""))) + 1
+    return ((s == "") | (words < 6) | (words > 60)
+            | ~s.rlike("[.!?][\"')”]?$") | ~s.rlike("[a-z]") | ends_cut(s))
+
+
+def _marked(s: Column, low: Column, fold: Column, brand: Column) -> Column:
+    """Boilerplate, byline, caption, metadata or navigation text."""
     brand_twice = (brand != "") & (
         F.length(low) - F.length(F.replace(low, brand, F.lit(""))) >= 2 * F.length(brand))
-    return ((s == "") | (words < 6) | (words > 60)
-            | ~s.rlike("[.!?][\"')”]?$") | ~s.rlike("[a-z]")
-            | ends_cut(s) | contains_any(low, V.BOILERPLATE)
+    return (contains_any(low, V.BOILERPLATE)
             | hits(s, V.BYLINE, fold) | hits(s, V.AUTHOR_BIO, fold) | hits(s, V.AFFILIATE, fold)
             | hits(s, V.CREDIT_END, fold) | brand_twice | is_caption(s, fold) | is_metadata(s, fold))
 
 
+def _bad_sentence(s: Column, brand: Column) -> Column:
+    """The rules are asked one by one only where the one search finds a literal of any, or the brand occurs."""
+    def marked(fold):
+        maybe = may_hit(fold, _MARKS, V.BOILERPLATE) | ((brand != "") & F.contains(fold, brand))
+        return maybe & let(F.lower(s), lambda low: _marked(s, low, fold, brand))
+
+    return _misshapen(s) | let(folded(s), marked)
+
+
 def clean_sentences(decoded, brand) -> Column:
     """Body sentences of entity-decoded text, in order, without boilerplate or repeats.
 
@@ -189,18 +218,18 @@ def clean_sentences(decoded, brand) -> Column:
     raw = F.split(F.replace(text(decoded), F.lit("\u00a0"), F.lit(" ")), SENTENCE_BREAK)
     tidy = F.transform(raw, lambda s: F.regexp_replace(
         F.trim(F.regexp_replace(s, r"(?U)\s+", " ")), r"\s+([,.;:!?])", "$1"))
-    return F.array_distinct(F.filter(tidy, lambda s: ~let(
-        F.struct(F.lower(s).alias("low"), folded(s).alias("fold")),
-        lambda v: _bad_sentence(s, v["low"], v["fold"], text(brand)))))
+    return F.array_distinct(F.filter(tidy, lambda s: ~_bad_sentence(s, text(brand))))
 
 
 def strip_headline(s: Column, headline) -> Column:
     """Drop a headline glued onto a sentence; '' when no real sentence is left."""
-    head = norm_tokens(headline)
-    body = norm_tokens(s)
-    glued = ((F.size(head) > 0) & (F.size(body) > F.size(head))
-             & (F.slice(body, F.lit(1), F.greatest(F.size(head), F.lit(1))) == head))
-    walk = F.concat(F.lit("(?is)^.*?"), F.array_join(head, ".*?"))
+    return let(headline_key(headline), lambda head: strip_head(s, head))
+
+
+def strip_head(s: Column, head: Column) -> Column:
+    """``strip_headline`` for the ``headline_key`` of a headline."""
+    glued = (head != "") & headline_key(s).startswith(F.concat(head, F.lit(" ")))
+    walk = F.concat(F.lit("(?is)^.*?"), F.replace(head, F.lit(" "), F.lit(".*?")))
     rest = F.regexp_replace(F.regexp_replace(s, walk, F.lit("")),
                             "^[ \t\\-–—:;,.\"'“”’]+", "")
     keep = (F.size(F.split(F.trim(rest), r"\s+")) >= 6) & starts_upper(rest)
@@ -211,7 +240,8 @@ def ungrounded(draft, source) -> Column:
     """Sorted numbers and proper nouns of the draft that the source does not contain."""
     tokens = F.array_distinct(F.regexp_extract_all(text(draft), F.lit(WORD), F.lit(0)))
     telling = F.filter(tokens, lambda t: t.rlike("[0-9]") | t.rlike("^[A-Z][a-zA-Z]{2,}$"))
-    src = F.transform(F.regexp_extract_all(text(source), F.lit(WORD), F.lit(0)),
-                      lambda t: F.lower(t))
-    missing = F.array_except(F.transform(telling, lambda t: F.lower(t)), src)
-    return F.array_sort(F.filter(telling, lambda t: F.array_contains(missing, F.lower(t))))
+    words = F.regexp_extract_all(text(source), F.lit(WORD), F.lit(0))
+    # Tokens hold no white space, so a word stands between two blanks in one text of all words.
+    known = F.lower(F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" ")))
+    return let(known, lambda src: F.array_sort(F.filter(
+        telling, lambda t: ~F.contains(src, F.concat(F.lit(" "), F.lower(t), F.lit(" "))))))

@@ -1,9 +1,12 @@
 import random
 import tracemalloc
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import functions as F
 
-from storyspark.functions import mixes as M, names, numbers as N, prose as P, text as T, times, urls
+from storyspark import vocab as V
+from storyspark.functions import mixes as M, names, numbers as N, prose as P, rules as R, text as T, times, urls
 from storyspark.operators import draft as D
 
 
@@ -156,3 +159,39 @@ def test_forbidden_keys(spark):
     assert one(spark, '{"a":{"Prompt":1},"b":"file:///x"}', lambda c: M.forbidden_keys(c, ["prompt"])) == ["prompt"]
     assert one(spark, '{"b":"file:///x"}', M.has_local_path) is True
     assert one(spark, '{"b":"a \\\\"prompt\\\\": x"}', lambda c: M.forbidden_keys(c, ["prompt"])) == []
+
+
+def test_a_rule_that_matches_is_never_screened_away(spark):
+    """The one search for all literals finds every text that a pattern or phrase finds."""
+    lines = ["By Jane Doe for the desk.", "It may earn a commiſſion here.", "A man holds a flag in the rain today.",
+             "Pictured above: a dog.", "PHOTO TAKEN by hand.", "She writes about cats for Wired.",
+             "Follow us on social media.", "Taken away by Getty Images.", "They joined Acme in 1999.",
+             "Nothing of that kind is in here.", "", "KİND of a logın page.", "WATCH: the clip."]
+    df = spark.createDataFrame([(x,) for x in lines], "s string")
+    rules = [R.hits("s", p) for p in T._MARKS] + [R.contains_any(F.lower("s"), V.BOILERPLATE)]
+    got = df.select("s", R.may_hit(R.folded("s"), T._MARKS, V.BOILERPLATE).alias("maybe"),
+                    reduce(or_, rules).alias("found")).collect()
+    assert all(r.maybe for r in got if r.found)
+    assert sum(r.found for r in got) >= 7 and any(not r.maybe for r in got)
+
+
+def test_sentence_rules_work_a_text_out_once(spark):
+    """Folding a sentence and the key of its headline were repeated for every literal and comparison."""
+    table = D.sentence_table(F.col("c"), F.col("t"), F.lit(True))
+    plan = spark.createDataFrame([(["x"], "t")], "c array<string>, t string").select(
+        table.alias("a"), D.without_headline(F.col("c"), F.col("t")).alias("b"))
+    shown = plan._jdf.queryExecution().analyzed().toString()
+    assert shown.count("ı") <= 2                      # one folding of a sentence
+    assert shown.count("[^a-z0-9]+") <= 2                  # one key of the headline, one of a sentence
+
+
+def test_glued_headlines_and_grounded_tokens_as_by_lists(spark):
+    cases = [("Big News Today And then they all went home again.", "Big news today"), ("Big news today", "Big news today"),
+             ("Big newsy today then they left.", "Big news"), ("Anything at all goes here.", ""), (None, "Big"),
+             ("Big, news... TODAY: They all went home again early.", "big news today"), ("x y", None)]
+    got = spark.createDataFrame(cases, "s string, h string").select(T.strip_headline(F.col("s"), F.col("h")).alias("r")).collect()
+    assert [r.r for r in got] == ["And then they all went home again.", "Big news today", "Big newsy today then they left.",
+                                  "Anything at all goes here.", None, "They all went home again early.", "x y"]
+    pairs = [("Paris 2026 Rome -5% 26", "paris-2026 2026 -5%. Rome's 26"), ("Ab Abc", "xAbc abcx"), (None, "a"), ("Abc", None)]
+    got = spark.createDataFrame(pairs, "d string, s string").select(T.ungrounded("d", "s").alias("r")).collect()
+    assert [r.r for r in got] == [["-5%", "Paris", "Rome"], ["Abc"], [], ["Abc"]]
