@@ -4,9 +4,11 @@ A document is its set of distinct word shingles, held as 64-bit hashes. Copies o
 to a class first. Classes meet on prefix n-grams, rarest first: rarity comes from a count of all
 shingles in a fixed number of buckets, so the order is one for all documents and its table has a
 proven size, and n-grams of hot passages always come last. Of n-grams that the very same classes hold in
-their prefixes only the first one is kept, as no pair can meet first on another. Length and positional
+their prefixes only the first one is kept, as no pair can meet first on another, and a class stays at an n-gram only
+if the next larger or smaller class there can be alike by its length. Length and positional
 filters, and a suffix filter on counts by hash range, prune the candidates; a pair is looked at only in the cell of
-its first common prefix n-gram, and verified there once on the whole sets. Cells of frequent n-grams
+its first common prefix n-gram. There its sketches are compared, counts by as many hash ranges as a set's
+size asks for, and what is left is verified once on the whole sets: only these travel. Cells of frequent n-grams
 are cut into pairs of blocks, so no task holds a group; a cell returns sums and one spanning edge per
 member, never its pairs.
 
@@ -23,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from storyspark.llm.common import bounded_batches, can_broadcast, offsets, runs
@@ -36,6 +38,8 @@ SKETCH_BITS = 18
 BLOCK = 400
 #: Hash ranges of the suffix filter.
 RANGES = 16
+#: Hash ranges of a sketch: a power of two of at least a quarter of the set's size, within these bounds.
+SKETCH_RANGES = (16, 1 << 14)
 #: Bytes of an Arrow batch, about: sets of long texts are large rows.
 BATCH_BYTES = 4 << 20
 #: Words whose hash a worker remembers before it starts afresh.
@@ -44,6 +48,10 @@ REMEMBERED = 500_000
 CELL_ROWS, PAIRS, FEW = 1_000, 100_000, 64
 
 
+#: A cell's members with the partners that come after them.
+PARTNERS = "token long, x int, y int, cls long, partners array<long>"
+
+
 class _Words(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
@@ -140,15 +148,28 @@ def _sets(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
     return rows.mapInArrow(run, "id long, n long, m1 long, m2 long, buckets array<int>, counts array<long>")
 
 
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    """Counts by hash range, 255 at most; more ranges for larger sets."""
+    least, most = SKETCH_RANGES
+    bits = (min(max(len(hashes) // 4, least), most) - 1).bit_length()
+    found = np.bincount((hashes >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(found, 255).astype(np.uint8)
+
+
+def folded(counts: np.ndarray, length: int) -> np.ndarray:
+    """A sketch with ``length`` ranges: neighbours are summed up."""
+    return counts.reshape(length, -1).sum(axis=1, dtype=np.int32)
+
+
 def _prefixes(docs: DataFrame, size: int, percent: int, counts: np.ndarray, id_col: str,
               text_col: str) -> DataFrame:
-    """``id``, ``m1``, ``m2``, ``tokens`` (the prefix, rarest first), ``ranges`` (sizes by hash range)."""
+    """``id``, ``m1``, ``m2``, ``tokens`` (the prefix, rarest first), ``ranges`` (sizes by hash range), ``sketch``."""
     shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, table = _Words(), shared.value
         for batch in batches:
-            marks, tokens, ranges = [], [], []
+            marks, tokens, ranges, sketches = [], [], [], []
             for row in many_shingles(batch.column(1).to_pylist(), size, known):
                 n = len(row)
                 length = n - (percent * n + 99) // 100 + 1 if n else 0
@@ -156,13 +177,15 @@ def _prefixes(docs: DataFrame, size: int, percent: int, counts: np.ndarray, id_c
                 marks.append(_mark(row))
                 tokens.append(_long(row[np.lexsort((row, rarity))[:length]]))
                 ranges.append(np.bincount((row >> np.uint64(60)).astype(np.int64), minlength=RANGES))
+                sketches.append(sketch(row).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([m[0] for m in marks], pa.int64()),
                  pa.array([m[1] for m in marks], pa.int64()), _lists(tokens, np.int64),
-                 _lists(ranges, np.int32)], ["id", "m1", "m2", "tokens", "ranges"])
+                 _lists(ranges, np.int32), pa.array(sketches, pa.binary())],
+                ["id", "m1", "m2", "tokens", "ranges", "sketch"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
-    return rows.mapInArrow(run, "id long, m1 long, m2 long, tokens array<long>, ranges array<int>")
+    return rows.mapInArrow(run, "id long, m1 long, m2 long, tokens array<long>, ranges array<int>, sketch binary")
 
 
 def _whole(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
@@ -302,6 +325,55 @@ def _spans(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
         lo = hi
 
 
+def _partners(cell: pa.Table) -> dict[int, list[int]]:
+    """Partners by member, of the cell's rows that list any."""
+    listed = cell.filter(cell.column("partners").is_valid())
+    partners: dict[int, list[int]] = {}
+    for member, found in zip(listed.column("cls").to_pylist(), listed.column("partners").to_pylist()):
+        partners.setdefault(member, []).extend(found)
+    return partners
+
+
+def _screened(percent: int):
+    """A cell's members and partners without the pairs whose sketches differ by more than alike sets can.
+
+    A difference of counts, also of 255 at most or summed over ranges, is never more than the sets differ by.
+    A cell's rows hold either a member's partners or its sketch.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell in runs(batches, ["token", "x", "y"]):
+            partners = _partners(cell)
+            given = cell.filter(cell.column("sketch").is_valid())
+            ids = given.column("cls").to_pylist()
+            sizes = dict(zip(ids, given.column("n").to_pylist()))
+            counts = {k: np.frombuffer(v, np.uint8) for k, v in zip(ids, given.column("sketch").to_pylist())}
+            short: dict[tuple[int, int], np.ndarray] = {}
+            kept: dict[int, list[int]] = {}
+            for member, found in partners.items():
+                if not found:
+                    continue
+                # Sizes of candidates differ little, so their sketches by one folding at most.
+                length = min(len(counts[k]) for k in (member, *found))
+                for k in (member, *found):
+                    if (k, length) not in short:
+                        short[k, length] = folded(counts[k], length)
+                both = sizes[member] + np.array([sizes[k] for k in found], np.int64)
+                apart = np.abs(np.stack([short[k, length] for k in found]) - short[member, length]).sum(axis=1)
+                fits = apart <= both - 2 * -(-percent * both // (100 + percent))
+                for k in [k for k, fit in zip(found, fits.tolist()) if fit]:
+                    kept.setdefault(member, []).append(k)
+                    kept.setdefault(k, [])
+            if kept:
+                n = len(kept)
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array([cell.column(c)[0].as_py()] * n, kind)
+                       for c, kind in (("token", pa.int64()), ("x", pa.int32()), ("y", pa.int32()))),
+                     pa.array(list(kept), pa.int64()), pa.array(list(kept.values()), pa.list_(pa.int64()))],
+                    ["token", "x", "y", "cls", "partners"])
+
+    return run
+
+
 def _verify(percent: int):
     """Sums of a cell's links by member, and each member's smallest linked member.
 
@@ -309,10 +381,7 @@ def _verify(percent: int):
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cell in runs(batches, ["token", "x", "y"]):
-            partners: dict[int, list[int]] = {}
-            listed = cell.filter(cell.column("partners").is_valid())
-            for member, found in zip(listed.column("cls").to_pylist(), listed.column("partners").to_pylist()):
-                partners.setdefault(member, []).extend(found)
+            partners = _partners(cell)
             cell = cell.filter(cell.column("hashes").is_valid())
             ids, first = np.unique(cell.column("cls").to_numpy(), return_index=True)
             cell = cell.take(pa.array(first)).combine_chunks()
@@ -322,7 +391,7 @@ def _verify(percent: int):
             codes = np.unique(sets.values.to_numpy()[bounds[0]:bounds[-1]], return_inverse=True)[1].astype(np.int32)
             bounds = bounds - bounds[0]
             sizes, copies = np.diff(bounds), cell.column("copies").to_numpy().copy()
-            del sets, cell, listed
+            del sets, cell
             has = np.zeros(int(codes.max()) + 1 if len(codes) else 1, bool)
             links, classes = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
             root = np.arange(len(ids))
@@ -355,6 +424,12 @@ def _verify(percent: int):
     return run
 
 
+def _cells(candidates: DataFrame) -> DataFrame:
+    """Keys of the cells and the classes wanted there, broadcast by hint if counted small."""
+    cells = candidates.select("token", "x", "y", "cls")
+    return F.broadcast(cells) if can_broadcast(cells.count(), 32) else cells
+
+
 def jaccard_join(docs: DataFrame, size: int = 3, percent: int = 90, id_col: str = "doc_id",
                  text_col: str = "text", block: int = BLOCK) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id``, ``n_links`` (other documents linked directly).
@@ -382,8 +457,8 @@ def _join(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str,
         named = F.broadcast(named)
     prefixes = written(_prefixes(docs, size, percent, table, id_col, text_col)
                        .join(named, ["m1", "m2"]).where("id <=> rep")
-                       .select("cls", "n", "ranges", "tokens"), "prefixes")
-    places = prefixes.select("cls", F.posexplode("tokens").alias("at", "token"))
+                       .select("cls", "n", "ranges", "sketch", "tokens"), "prefixes")
+    places = prefixes.select("cls", "n", F.posexplode("tokens").alias("at", "token"))
     held = F.xxhash64("cls")
     # Number, ends and two sums name the classes of a token; a repeated row counts in all of its tokens.
     owners = [F.count("*").alias("rows"), F.min("cls").alias("low"), F.max("cls").alias("high"),
@@ -392,11 +467,17 @@ def _join(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str,
     # The order of tokens is one for all, so of the same owners' tokens the least place is the first everywhere.
     kept = written(shared.groupBy("rows", "low", "high", "one", "two").agg(F.min_by("token", "at").alias("token"))
                    .select("token", F.ceil(F.col("rows") / block).cast("int").alias("blocks")), "kept")
-    members = (places.join(kept.hint("merge"), "token").groupBy("cls")
-               .agg(F.array_sort(F.collect_set(F.struct("at", "token", "blocks"))).alias("found"))
-               .join(prefixes.select("cls", "n", "ranges").dropDuplicates(["cls"]), "cls"))
+    # Of classes in order of size the neighbours are the likest; rows of cells that are cut into blocks all stay.
+    near = Window.partitionBy("token", F.when(F.col("blocks") > 1, F.col("cls"))).orderBy("n")
+    met = (places.join(kept.hint("merge"), "token")
+           .withColumns({"less": F.lag("n").over(near), "more": F.lead("n").over(near)})
+           .where((F.col("blocks") > 1) | (100 * F.col("less") >= percent * F.col("n"))
+                  | (100 * F.col("n") >= percent * F.col("more"))))
+    members = (met.groupBy("cls").agg(F.array_sort(F.collect_set(F.struct("at", "token", "blocks"))).alias("found"))
+               .join(prefixes.select("cls", "n", "ranges", "sketch").dropDuplicates(["cls"]), "cls"))
     # A row carries the kept part of its own prefix before the token, to know first meetings.
-    members = written(members.select("cls", "n", "ranges", "found", F.col("found.token").alias("tokens")), "members")
+    members = written(members.select("cls", "n", "ranges", "sketch", "found", F.col("found.token").alias("tokens")),
+                      "members")
     cells = (members.select("cls", "n", "ranges", "tokens", F.posexplode("found").alias("place", "own"))
              .select("cls", "n", "ranges", "own.*", F.slice("tokens", F.lit(1), F.col("place")).alias("before"))
              .withColumn("block", F.pmod(F.xxhash64("cls"), "blocks").cast("int"))
@@ -406,7 +487,16 @@ def _join(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str,
     key = ["token", "x", "y"]
     candidates = written(
         cells.repartition(*key).sortWithinPartitions(*key).mapInArrow(
-            _candidates(percent), "token long, x int, y int, cls long, partners array<long>"), "candidates")
+            _candidates(percent), PARTNERS), "candidates")
+    none = F.lit(None)
+    # Sketches and sets meet the cells they are wanted in, by the cells' keys alone; partners reach the cell on their own.
+    cells = _cells(candidates)
+    sketches = members.select("cls", "n", "sketch").join(cells, "cls").select(
+        *key, "cls", "n", none.cast("array<long>").alias("partners"), "sketch")
+    listed = candidates.select(*key, "cls", none.cast("long").alias("n"), "partners", none.cast("binary").alias("sketch"))
+    candidates = written(
+        sketches.union(listed).repartition(*key).sortWithinPartitions(*key).mapInArrow(
+            _screened(percent), PARTNERS), "screened")
 
     wanted = written(candidates.select("cls").distinct().join(classes, "cls"), "wanted")
     ids = wanted.select(F.col("rep").alias(id_col)).distinct()
@@ -415,12 +505,9 @@ def _join(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str,
         ids = F.broadcast(ids)
     texts = docs.select(F.col(id_col).cast("long").alias(id_col), text_col)
     texts = texts.join(ids, texts[id_col].eqNullSafe(ids[id_col]), "left_semi")
-    # Sets meet the cells they are wanted in, by the cells' keys alone; partners reach the cell on their own.
-    cells = candidates.select(*key, "cls")
-    if can_broadcast(cells.count(), 32):
-        cells = F.broadcast(cells)
-    none = F.lit(None)
-    sets = (_whole(texts, size, id_col, text_col).join(wanted, ["m1", "m2"]).join(cells, "cls")
+    if can_broadcast(number, 64):
+        wanted = F.broadcast(wanted)
+    sets = (_whole(texts, size, id_col, text_col).join(wanted, ["m1", "m2"]).join(_cells(candidates), "cls")
             .select(*key, "cls", "copies", none.cast("array<long>").alias("partners"), "hashes"))
     listed = candidates.select(*key, "cls", none.cast("long").alias("copies"), "partners",
                                none.cast("array<long>").alias("hashes"))

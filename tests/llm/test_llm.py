@@ -437,3 +437,33 @@ def test_pipeline_join_takes_five_words_and_four_fifths(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id for r in corpus_pipeline.ngram_jaccard_join(spark, df, DIR).collect()}
     assert got == kept(5, 80) < kept(3, 90)
+
+
+def test_sketches_never_differ_by_more_than_the_sets_and_screen_pairs():
+    """Every foldable pair of sketches is a lower bound; an alike pair stays in its cell, an unlike one leaves."""
+    rng = np.random.default_rng(5)
+    base = np.unique(rng.integers(0, 1 << 63, 3_000, dtype=np.uint64) * np.uint64(2))
+    near, other = np.unique(np.r_[base[40:], base[:30] + np.uint64(1)]), np.unique(base[:2_900] ^ np.uint64(1 << 63))
+    unlike = np.unique(np.r_[base[:1_500], rng.integers(0, 1 << 63, 1_500, dtype=np.uint64)])
+    sets = [base, near, other, unlike, base[:200], base[:3]]
+    for a in sets:
+        for b in sets:
+            x, y = ngram_join.sketch(a), ngram_join.sketch(b)
+            length = min(len(x), len(y))
+            apart = np.abs(ngram_join.folded(x, length) - ngram_join.folded(y, length)).sum()
+            assert apart <= len(np.setxor1d(a, b))
+    rows = [dict(token=1, x=0, y=0, cls=k, n=None, partners=p, sketch=None) for k, p in ((0, [1, 3]), (1, [3]), (3, []))]
+    rows += [dict(token=1, x=0, y=0, cls=k, n=len(sets[k]), partners=None, sketch=ngram_join.sketch(sets[k]).tobytes())
+             for k in (0, 1, 3)]
+    schema = pa.schema([("token", pa.int64()), ("x", pa.int32()), ("y", pa.int32()), ("cls", pa.int64()),
+                        ("n", pa.int64()), ("partners", pa.list_(pa.int64())), ("sketch", pa.binary())])
+    batches = pa.Table.from_pylist(rows, schema=schema).to_batches()
+    found = pa.Table.from_batches(list(ngram_join._screened(90)(iter(batches)))).to_pylist()
+    assert {r["cls"]: r["partners"] for r in found} == {0: [1], 1: []}
+
+
+def test_pipeline_codes_and_decodes_in_separate_jobs(spark):
+    """One Python step in the last plan: the ids were written before it."""
+    docs = spark.createDataFrame([(1, "one two"), (2, None)], "doc_id long, text string")
+    plan = corpus_pipeline.byte_level_bpe(spark, docs, DIR)._jdf.queryExecution().toString()
+    assert plan.split("== Physical Plan ==")[1].count("MapInArrow") == 1
