@@ -14,13 +14,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storyspark.llm import bpe, decontaminate, ngram_join, outliers, secrets_crf
-from storyspark.llm.common import documents, without
+from storyspark.llm.common import bounded_batches, documents, without
 from storyspark.llm.queries import RANKS, coded_digests
 from storyspark.session import written
 
 
 #: Column that names the rows of a stage's input, for that stage only.
 ROW = "_stage_row"
+#: Bytes of an Arrow batch of texts, about.
+BATCH_BYTES = 4 << 20
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -65,9 +67,14 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every text, with digests of the ids and of what they decode to."""
+    """Ids of every text, with digests of the ids and of what they decode to.
+
+    The ids are written in between, so that a task holds the worker of one of the two steps, not of both.
+    """
     ranks = public_tokenizers.path(RANKS)
-    return coded_digests(bpe.decode(bpe.encode(docs, ranks), ranks))
+    with bounded_batches(spark, BATCH_BYTES):
+        ids = written(bpe.encode(docs, ranks), "ids")
+    return coded_digests(bpe.decode(ids, ranks))
 
 
 STAGES = [
